@@ -10,24 +10,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _MASK31 = 0x7FFFFFFF
-#: Shift-and-mask steps that spread 31 bits over the even bit positions.
-_SPREAD = (
-    (16, 0x0000FFFF0000FFFF),
-    (8, 0x00FF00FF00FF00FF),
-    (4, 0x0F0F0F0F0F0F0F0F),
-    (2, 0x3333333333333333),
-    (1, 0x5555555555555555),
-)
 #: Added to cell columns and rows before interleaving, so that negative cells
 #: keep their order and shifting still yields the parent.
 CELL_BIAS = 1 << 30
 
 
 def _spread_bits(value: Column) -> Column:
-    out = value.cast("bigint").bitwiseAND(F.lit(_MASK31))
-    for shift, mask in _SPREAD:
-        out = out.bitwiseOR(F.shiftleft(out, shift)).bitwiseAND(F.lit(mask))
-    return out
+    # Binary digits read as base-4 digits land on the even bit positions.
+    low31 = value.cast("bigint").bitwiseAND(F.lit(_MASK31))
+    return F.conv(F.bin(low31), 4, 10).cast("bigint")
 
 
 def morton(x: Column, y: Column) -> Column:

@@ -24,7 +24,8 @@ def geojson_rings(geojson: Column, feature_type: Column) -> Column:
     """Rings of a point, line or polygon as arrays of coordinate arrays."""
     coords = geojson["coordinates"]
     return (
-        F.when(
+        F.when(coords.isNull(), F.lit(None))
+        .when(
             feature_type == "point",
             F.array(F.array(F.from_json(coords, "array<double>"))),
         )

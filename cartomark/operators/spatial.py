@@ -58,6 +58,30 @@ def cell_prefilter(
     return kept_perf, keep(truth, kept_perf)
 
 
+def box_prefilter(
+    perf: DataFrame, truth: DataFrame, keys: Sequence[str], size: float
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`cell_prefilter` straight from boxes at one cell size.
+
+    A cell lies wholly in its coarse parent, so sharing a fine cell implies
+    sharing the coarse one and the fine test alone decides.
+    """
+    b = F.col("bbox")
+
+    def cells(side: DataFrame) -> DataFrame:
+        across = F.sequence(axis_cell(b["xmin"], size), axis_cell(b["xmax"], size))
+        down = F.sequence(axis_cell(b["ymin"], size), axis_cell(b["ymax"], size))
+        return side.withColumn("_col", F.explode(across)).withColumn("_row", F.explode(down))
+
+    def keep(side: DataFrame, other: DataFrame) -> DataFrame:
+        on = [*keys, "_col", "_row"]
+        there = cells(other).select(*on).distinct()
+        ids = cells(side).select(*on, "fid").join(there, on, "left_semi").select(*keys, "fid").distinct()
+        return side.join(ids, [*keys, "fid"], "left_semi")
+
+    return keep(perf, truth), keep(truth, perf)
+
+
 def _level(box: Column, size: float) -> Column:
     """Coarsest-needed level: a box spans at most ``SPAN`` cells per axis there."""
     extent = F.greatest(box["xmax"] - box["xmin"], box["ymax"] - box["ymin"])
