@@ -6,7 +6,7 @@ import importlib
 
 from cartomark.workload import registry
 
-MODULES = ("spatial_queries", "scan_queries", "join_queries")
+MODULES = ("spatial_queries", "scan_queries", "join_queries", "aggregate_queries")
 
 
 def _load() -> None:
