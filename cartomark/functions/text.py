@@ -105,20 +105,21 @@ def abbreviation_or_id(
 
 def split_trimmed(text: Column, sep: str = ",") -> Column:
     """Array of the trimmed parts of a separated list."""
-    return F.transform(F.split(text, sep), F.trim)
+    return F.transform(F.split(text, sep), lambda part: F.trim(part))
 
 
 def readable_size(size: Column, decimals: int = 3) -> Column:
     """Bytes as a number with a binary suffix, such as ``1.234MB``."""
-    out = None
-    for power, suffix in enumerate(SIZE_SUFFIXES):
-        value = F.format_string(f"%.{decimals}f{suffix}", size.cast("double") / F.lit(1024.0**power))
-        fits = size < F.lit(1024.0 ** (power + 1))
-        out = F.when(fits, value) if out is None else out.when(fits, value)
-    last = len(SIZE_SUFFIXES)
-    return out.otherwise(
-        F.format_string(f"%.{decimals}f{SIZE_SUFFIXES[-1]}", size.cast("double") / F.lit(1024.0**last))
-    )
+
+    def shown(power: int, suffix: str) -> Column:
+        # Ties go to the even digit, as in printf.
+        value = F.bround(size.cast("double") / F.lit(1024.0**power), decimals)
+        return F.format_string(f"%.{decimals}f{suffix}", value)
+
+    out = F.when(size < 1024, shown(0, SIZE_SUFFIXES[0]))
+    for power, suffix in enumerate(SIZE_SUFFIXES[1:], start=1):
+        out = out.when(size < F.lit(1024.0 ** (power + 1)), shown(power, suffix))
+    return out.otherwise(shown(len(SIZE_SUFFIXES), SIZE_SUFFIXES[-1]))
 
 
 def tokens(text: Column) -> Column:

@@ -16,6 +16,7 @@ from cartomark.functions import geometry as G
 from cartomark.functions.geometry import USE_SPATIAL_INDEX
 from cartomark.operators import raster as R
 from cartomark.operators.spatial import score_boxes, spatial_pairs
+from cartomark.session import materialize
 
 SYSTEM = ("system", "system_version")
 MATCH = ("id", "geo_value")
@@ -202,6 +203,9 @@ def evaluate_geometries(
         *match, *[F.col(f"p_{c}").alias(c) for c in group if c not in match],
         "p_fid", "g_fid", meets.alias("_meets"),
     )
+    # Five branches read the pairs: which features to rasterise on either side,
+    # the pixel join twice, and the candidate counts.
+    pairs = materialize(pairs, "candidate-pairs")
 
     def runs(side: DataFrame, fid: str) -> DataFrame:
         used = pairs.where("_meets").select(F.col(fid).alias("fid")).distinct()

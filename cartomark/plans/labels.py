@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from cartomark.functions import text as T
 from cartomark.functions.geometry import USE_SPATIAL_INDEX, boxes_intersect
+from cartomark.functions.projection import UNITS, unit_lookup
 from cartomark.operators.balance import first_per_key
-from cartomark.operators.similarity import best_matches, similar_pairs
+from cartomark.operators.similarity import best_matches, similar_pairs, tfidf_cosine
 from cartomark.operators.spatial import score_boxes, spatial_pairs
 
 NOT_IN_DICTIONARY = "Not in Dictionary"
@@ -314,6 +315,77 @@ def ontology_report(values: DataFrame, onto: DataFrame, threshold: float = 0.8)
     )
 
 
+def match_units(rows: DataFrame, unit: str = "unit", threshold: float = 0.6) -> DataFrame:
+    """Metres per unit name: exact name first, else the most similar one.
+
+    Adds ``metres``, ``unit_matched`` and ``unit_similarity``; all null where no
+    name is similar enough. Only the distinct names are matched.
+    """
+    wanted = rows.select(F.col(unit).alias("value")).where("value is not null").distinct()
+    exact = wanted.withColumns(
+        {
+            "unit_matched": F.col("value"),
+            "unit_similarity": F.lit(1.0),
+            "metres": unit_lookup(F.col("value"), by="name"),
+        }
+    )
+    names = rows.sparkSession.createDataFrame([(n,) for _, n, _ in UNITS], "candidate string")
+    near = best_matches(exact.where("metres is null").select("value"), names, [], threshold)
+    near = near.select(
+        "value",
+        F.col("candidate").alias("unit_matched"),
+        F.col("ratio").alias("unit_similarity"),
+        unit_lookup(F.col("candidate"), by="name").alias("metres"),
+    )
+    found = exact.where("metres is not null").unionByName(near)
+    return rows.join(found.withColumnRenamed("value", unit), unit, "left")
+
+
+def key_value_matches(values: DataFrame, onto: DataFrame, threshold: float) -> DataFrame:
+    """Best ontology key and other name per group, by sequence and by word cosine.
+
+    ``values``: id, value; ``onto``: id, label, alias. One row per id and method with
+    the value of the highest score above the threshold.
+    """
+    keys = onto.select("id", F.col("label").alias("key")).distinct()
+    names = onto.select("id", F.col("alias").alias("key")).distinct()
+    found = None
+    for kind, table in (("key", keys), ("value", names)):
+        near = similar_pairs(table, values, ["id"], threshold, left_text="key", right_text="value")
+        near = near.withColumn("method", F.lit(f"sequence-ontology_{kind}"))
+        cosine = word_cosine_pairs(table, values, threshold).withColumn(
+            "method", F.lit(f"cosine-ontology_{kind}")
+        )
+        both = near.unionByName(cosine)
+        found = both if found is None else found.unionByName(both)
+    return first_per_key(
+        found, ["id", "method"], [F.desc("ratio"), F.asc("key"), F.asc("value")]
+    ).select("id", "method", "key", "value", F.round("ratio", 9).alias("ratio"))
+
+
+def word_cosine_pairs(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of equal id that share a word and whose TF-IDF cosine exceeds the threshold.
+
+    Texts without a common word have cosine 0, so pairs come from a join on words.
+    """
+    lefts = left.select("id", "key").distinct()
+    rights = right.select("id", "value").distinct()
+    pairs = (
+        lefts.select("id", "key", F.explode(F.array_distinct(T.tokens(F.col("key")))).alias("_w"))
+        .join(
+            rights.select("id", "value", F.explode(F.array_distinct(T.tokens(F.col("value")))).alias("_w")),
+            ["id", "_w"],
+        )
+        .select("id", F.col("key").alias("a_id"), F.col("value").alias("b_id"))
+        .distinct()
+    )
+    texts = lefts.select(F.col("key").alias("id")).union(rights.select("value")).distinct()
+    scored = tfidf_cosine(pairs, texts.withColumn("text", F.col("id")))
+    return scored.where(F.col("cosine") > threshold).select(
+        "id", F.col("a_id").alias("key"), F.col("b_id").alias("value"), F.col("cosine").alias("ratio")
+    )
+
+
 # --- predictions to labels -------------------------------------------------------------
 
 

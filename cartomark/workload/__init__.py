@@ -6,7 +6,15 @@ import importlib
 
 from cartomark.workload import registry
 
-MODULES = ("spatial_queries", "scan_queries", "join_queries", "aggregate_queries")
+MODULES = (
+    "spatial_queries",
+    "scan_queries",
+    "join_queries",
+    "aggregate_queries",
+    "text_queries",
+    "geo_queries",
+    "job_queries",
+)
 
 
 def _load() -> None:
