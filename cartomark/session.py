@@ -26,6 +26,7 @@ def local_session(cores: int | str = 8, memory: str = "8g", **conf: str) -> Spar
         "spark.sql.shuffle.partitions": str(cores),
         "spark.driver.memory": memory,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **conf,
     }
     for key, value in settings.items():
