@@ -86,7 +86,7 @@ def similar_pairs(
         .withColumn("_s", piece_start(F.col("_i"), pieces))
         .withColumn("_e", piece_start(F.col("_i") + 1, pieces))
         .select(
-            *group, "_a", "_la", "_lb", "_i", F.expr("substring(_a, _s + 1, _e - _s)").alias("_piece")
+            *group, "_a", "_la", "_lb", "_d", "_i", F.expr("substring(_a, _s + 1, _e - _s)").alias("_piece")
         )
     )
     b_side = (
@@ -109,8 +109,11 @@ def similar_pairs(
             ).alias("_piece"),
         )
     )
+    # The edit distance never exceeds the edits allowed; testing it inside the
+    # join drops chance meetings before anything is shuffled.
     candidates = (
         a_side.join(b_side, [*group, "_la", "_lb", "_i", "_piece"])
+        .where(F.levenshtein("_a", "_b") <= F.col("_d"))
         .select(*group, "_a", "_b")
         .distinct()
     )

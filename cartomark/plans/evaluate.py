@@ -50,7 +50,8 @@ def best_match(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per performer feature its best truth feature and its number of candidates.
 
     One aggregation with map-side combine: highest IoU, then highest F1, then
-    first truth feature, over the candidates that pass the predicate.
+    first truth feature, over the candidates that pass the predicate. A pair may
+    stand for ``g_copies`` equal truth features.
     """
     pick = F.struct(
         (-F.col("iou_units")).alias("neg_iou"),
@@ -59,7 +60,7 @@ def best_match(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
         *[F.col(c) for c in ("true_positives", "len_pdf", "len_gdf")],
     )
     best = pairs.groupBy(*keys, "p_fid").agg(
-        F.count("*").alias("num_cand_geom"),
+        (F.sum("g_copies") if "g_copies" in pairs.columns else F.count("*")).alias("num_cand_geom"),
         F.min(F.when(F.col("success_overlap"), pick)).alias("_best"),
     )
     return best.select(
@@ -77,16 +78,48 @@ def _with_counts(best: DataFrame, perf: DataFrame, truth: DataFrame, group: Sequ
     per_group = best.groupBy(*group).agg(F.count("*").alias("num_cand_perf"))
     inf = perf.groupBy(*group).agg(F.count("*").alias("inf_count"))
     grnd = truth.groupBy(*match).agg(F.count("*").alias("grnd_count"))
-    return (
-        best.where("g_fid is not null")
-        .join(per_group.join(inf, list(group)).join(grnd, list(match)), list(group))
-    )
+    counts = per_group.join(inf, list(group)).join(grnd, list(match))
+    return best.where("g_fid is not null").join(counts, list(group))
+
+
+def _distinct_boxes(perf: DataFrame, truth: DataFrame, match: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Distinct boxes per label on either side; truth keeps its first key and number.
+
+    A match depends on the box alone, so copies of one box are compared once,
+    however many there are.
+    """
+    p = perf.select(*match, "bbox").distinct()
+    g = truth.groupBy(*match, "bbox").agg(F.min("fid").alias("fid"), F.count("*").alias("copies"))
+    return p, g
 
 
 def _finish(rows: DataFrame) -> DataFrame:
     return R.with_f1(rows.withColumn("iou", G.iou_percent(F.col("iou_units"))))
 
 
+def match_boxes(
+    perf: DataFrame,
+    truth: DataFrame,
+    cell: float,
+    pixel: float,
+    match: Sequence[str],
+    *,
+    predicate: str = "intersects",
+    oversize: bool = True,
+) -> DataFrame:
+    """Performer features with any candidate, their best match and candidate number.
+
+    Distinct boxes of a label meet by cell, are reduced to the best match with a
+    map-side combine, and the result is joined back to the features that have
+    that box. ``g_fid`` is null where no candidate passes the predicate.
+    """
+    boxes_p, boxes_g = _distinct_boxes(perf, truth, match)
+    pairs = spatial_pairs(boxes_p, boxes_g, match, cell, oversize=oversize)
+    scored = R.with_f1(box_pixel_counts(score_boxes(pairs, predicate), pixel))
+    best = best_match(scored.withColumn("p_fid", F.col("p_bbox")), match).withColumnRenamed("p_fid", "bbox")
+    return perf.join(best, [*match, "bbox"]).withColumnRenamed("fid", "p_fid").drop("bbox")
+
+
 def evaluate_boxes(
     perf: DataFrame,
     truth: DataFrame,
@@ -100,21 +133,16 @@ def evaluate_boxes(
 ) -> DataFrame:
     """Match metrics of axis-parallel features, one row per matched performer feature.
 
-    Shuffles: both sides by (label keys, cell); candidate pairs by performer
-    feature after a map-side combine; the small count tables.
+    Shuffles: each side once for its distinct boxes and once by (label keys,
+    cell), candidate pairs by performer box after the combine, features by box,
+    and the small count tables.
     """
     match = [*match, *(["epsg"] if "epsg" in perf.columns and "epsg" in truth.columns else [])]
     group = [*match, *[c for c in SYSTEM if c in perf.columns]]
     slim_p = perf.select(*group, "fid", "bbox")
     slim_g = truth.select(*match, "fid", "bbox")
-    pairs = spatial_pairs(slim_p, slim_g, match, cell, oversize=oversize)
-    pairs = pairs.select(
-        *match, *[F.col(f"p_{c}").alias(c) for c in group if c not in match],
-        "p_fid", "g_fid", "p_bbox", "g_bbox",
-    )
-    scored = R.with_f1(box_pixel_counts(score_boxes(pairs, predicate), pixel))
-    best = best_match(scored, group)
-    rows = _finish(_with_counts(best, slim_p, slim_g, group, match))
+    matched = match_boxes(slim_p, slim_g, cell, pixel, match, predicate=predicate, oversize=oversize)
+    rows = _finish(_with_counts(matched, slim_p, slim_g, group, match))
     return rows.withColumn("geo_value_query", F.lit(labelled))
 
 
@@ -190,27 +218,31 @@ def evaluate_geometries(
         ).otherwise(F.lit(0.0))
         return side.join(scales.select("id", "scale"), "id").withColumn("_radius", grown).drop("scale")
 
-    perf, truth = sized(perf), sized(truth)
-
-    def slim(side: DataFrame, cols: Sequence[str]) -> DataFrame:
-        grown = G.grown_box(G.geometry_box(F.col("geom")), F.col("_radius"))
-        return side.select(*cols, "fid", grown.alias("bbox"))
+    def shaped(side: DataFrame) -> DataFrame:
+        # The digest of the geometry is the key under which copies are compared once.
+        return sized(side).withColumn("shape", F.sha2(F.to_json("geom"), 256))
 
-    slim_p, slim_g = slim(perf, group), slim(truth, list(match))
-    pairs = spatial_pairs(slim_p, slim_g, match, cell)
-    meets = G.boxes_intersect(F.col("p_bbox"), F.col("g_bbox"))
-    pairs = pairs.select(
-        *match, *[F.col(f"p_{c}").alias(c) for c in group if c not in match],
-        "p_fid", "g_fid", meets.alias("_meets"),
+    perf, truth = shaped(perf), shaped(truth)
+    grown = F.first(G.grown_box(G.geometry_box(F.col("geom")), F.col("_radius"))).alias("bbox")
+    shapes_p = perf.groupBy(*match, "shape").agg(grown)
+    shapes_g = truth.groupBy(*match, "shape").agg(
+        grown, F.min("fid").alias("fid"), F.count("*").alias("copies")
     )
-    # Five branches read the pairs: which features to rasterise on either side,
-    # the pixel join twice, and the candidate counts.
+    pairs = spatial_pairs(shapes_p, shapes_g, match, cell)
+    meets = G.boxes_intersect(F.col("p_bbox"), F.col("g_bbox"))
+    pairs = pairs.select(*match, "p_shape", "g_shape", "g_fid", "g_copies", meets.alias("_meets"))
+    # Five branches read the pairs: which shapes to rasterise on either side, the
+    # pixel join twice, and the candidate counts.
     pairs = materialize(pairs, "candidate-pairs")
 
-    def runs(side: DataFrame, fid: str) -> DataFrame:
-        used = pairs.where("_meets").select(F.col(fid).alias("fid")).distinct()
-        px = to_pixels(side.join(used, "fid", "left_semi"), rasters).withColumn(
-            "_px_radius", F.col("_radius") / F.col("px_width")
+    # A shape is rasterised on the image of its map, hence once per map.
+    image = F.concat_ws("@", F.col("id").cast("string"), F.col("_shape"))
+
+    def runs(side: DataFrame, shape: str) -> DataFrame:
+        used = pairs.where("_meets").select("id", F.col(shape).alias("shape")).distinct()
+        once = side.join(used, ["id", "shape"], "left_semi").dropDuplicates(["id", "shape"])
+        px = to_pixels(once.withColumn("_shape", F.col("shape")), rasters).withColumns(
+            {"fid": image, "_px_radius": F.col("_radius") / F.col("px_width")}
         )
         carry = ["width", "height"]
         plain = R.outline_runs(px.where("_radius = 0"), carry)
@@ -218,15 +250,25 @@ def evaluate_geometries(
         both = plain.unionByName(round_)
         return R.clip_runs(both, F.col("width"), F.col("height")).drop(*carry)
 
-    scored = R.pixel_scores(pairs.where("_meets").select("p_fid", "g_fid"), runs(perf, "p_fid"), runs(truth, "g_fid"))
+    def keyed(shape: str) -> Column:
+        return F.concat_ws("@", F.col("id").cast("string"), F.col(shape))
+
+    meeting = pairs.where("_meets").select(keyed("p_shape").alias("p_fid"), keyed("g_shape").alias("g_fid")).distinct()
+    scored = R.pixel_scores(meeting, runs(perf, "p_shape"), runs(truth, "g_shape"))
     tp = F.col("true_positives")
+    union = (F.col("len_pdf") + F.col("len_gdf") - tp).cast("double")
     scored = scored.select(
-        "p_fid", "g_fid", "true_positives", "len_pdf", "len_gdf", "f1",
-        G.iou_units(tp.cast("double"), (F.col("len_pdf") + F.col("len_gdf") - tp).cast("double")).alias("iou_units"),
+        F.col("p_fid").alias("_p"), F.col("g_fid").alias("_g"),
+        "true_positives", "len_pdf", "len_gdf", "f1",
+        G.iou_units(tp.cast("double"), union).alias("iou_units"),
     )
-    joined = pairs.drop("_meets").join(scored, ["p_fid", "g_fid"], "left").withColumn(
-        "success_overlap", F.coalesce(F.col("true_positives") > 0, F.lit(False))
+    joined = (
+        pairs.withColumns({"_p": keyed("p_shape"), "_g": keyed("g_shape")})
+        .join(scored, ["_p", "_g"], "left")
+        .withColumn("success_overlap", F.coalesce(F.col("true_positives") > 0, F.lit(False)))
     )
-    best = best_match(joined, group)
-    rows = _with_counts(best, slim_p, slim_g, group, list(match))
+    best = best_match(joined.withColumn("p_fid", F.col("p_shape")), match).withColumnRenamed("p_fid", "shape")
+    slim_p = perf.select(*group, "fid", "shape")
+    matched = slim_p.join(best, [*match, "shape"]).withColumnRenamed("fid", "p_fid").drop("shape")
+    rows = _with_counts(matched, slim_p, truth.select(*match, "fid"), group, list(match))
     return _finish(rows.join(rasters.select("id", "total_pix"), "id", "left"))

@@ -439,7 +439,7 @@ def assign_by_legend(features: DataFrame, legend: DataFrame, cell: float) -> Dat
     """
     boxes = features.where("bbox is not null").select("cog_id", "bbox").distinct()
     boxes = boxes.withColumn("fid", F.xxhash64("cog_id", "bbox"))
-    items = legend.where("bbox is not null").select("cog_id", F.col("item").alias("fid"), "bbox")
+    items = legend.where("bbox is not null").groupBy("cog_id", "bbox").agg(F.min("item").alias("fid"))
     pairs = score_boxes(
         spatial_pairs(
             boxes, items, ["cog_id"], cell, condition=boxes_intersect(F.col("p_bbox"), F.col("g_bbox"))

@@ -29,13 +29,23 @@ def reproject(geom: Column, code: Column, to_utm: bool) -> Column:
     return G.geometry(geom["kind"], F.transform(geom["rings"], lambda ring: F.transform(ring, move)))
 
 
+#: Cells a geometry may span per axis before its cover moves to a coarser level.
+MAX_SPAN = 256
+
+
 def ring_cells(features: DataFrame, size: float, levels: int, geom: str = "geom") -> DataFrame:
     """Exact fine and coarse cells of geometries: touched by the outline, or inside.
 
     Each edge is cut by grid row; the columns it touches in that row follow from
     its ends there. Inside cells come from the crossings of the row's middle by
-    the even-odd rule. Cells come back as arrays per feature.
+    the even-odd rule. Cells come back as arrays per feature. A geometry wider
+    than ``MAX_SPAN`` cells is covered at the coarser level ``cell_level``, so
+    that no array grows with the size of the map.
     """
+    b = G.geometry_box(F.col(geom))
+    extent = F.greatest(b["xmax"] - b["xmin"], b["ymax"] - b["ymin"])
+    level = F.ceil(F.log2(F.greatest(extent / F.lit(size * MAX_SPAN), F.lit(1.0)))).cast("int")
+    features = features.withColumn("cell_level", level)
     segments = F.when(
         F.col(geom)["kind"] == "point",
         F.transform(
@@ -46,8 +56,12 @@ def ring_cells(features: DataFrame, size: float, levels: int, geom: str = "geom"
         ),
     ).otherwise(G.geometry_segments(F.col(geom)))
     scaled = features.select(
-        "fid", (F.col(geom)["kind"] == "polygon").alias("_fill"), F.inline(segments)
-    ).withColumns({c: F.col(c) / size for c in ("x1", "y1", "x2", "y2")})
+        "fid",
+        (F.col(geom)["kind"] == "polygon").alias("_fill"),
+        (F.lit(float(size)) * F.pow(F.lit(2.0), F.col("cell_level"))).alias("_size"),
+        F.inline(segments),
+    )
+    scaled = scaled.withColumns({c: F.col(c) / F.col("_size") for c in ("x1", "y1", "x2", "y2")})
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
     rows = scaled.withColumn(
         "row", F.explode(F.sequence(F.floor(low).cast("bigint"), F.floor(high).cast("bigint")))
@@ -116,7 +130,8 @@ def truth_features(
         F.col("geom_kind").alias("geom_type"),
         to_geometry(F.col("geom_kind"), rings).alias("geom"),
     )
-    labelled = parts.join(matches, ["id", "field_name", "geo_value_vector"]).withColumn(
+    wanted = matches.select("id", "field_name", "geo_value_vector", "binary_value", "matched_ratio")
+    labelled = parts.join(wanted.distinct(), ["id", "field_name", "geo_value_vector"]).withColumn(
         "geo_value", strip_nonword(F.col("geo_value_vector"))
     )
     labelled = labelled.withColumn("bbox", G.geometry_box(F.col("geom")))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cartomark.functions import geometry as G
 from cartomark.operators import balance, spatial
 from cartomark.operators.similarity import best_matches
-from cartomark.plans import georef, inventory, labels, orchestrate
+from cartomark.plans import evaluate, georef, inventory, labels, orchestrate
 from cartomark.workload import logical as L
 from cartomark.workload.registry import query
 from cartomark.workload.scan_queries import CELLS_SQL, ROUTE_SQL, route_inputs, z_sql
@@ -327,17 +327,12 @@ def j16(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("w01_best_match", SCORED + "SELECT p_fid, g_fid, iou_units, true_positives FROM metrics")
 def w01(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from cartomark.plans.evaluate import best_match, box_pixel_counts
-    from cartomark.operators.raster import with_f1
-
-    pairs = spatial.spatial_pairs(
+    found = evaluate.match_boxes(
         L.performers(spark, sf_dir).select("id", "geo_value", "fid", "bbox"),
         L.truths(spark, sf_dir).select("id", "geo_value", "fid", "bbox"),
-        ["id", "geo_value"],
-        L.CELL,
+        L.CELL, L.PIXEL, ["id", "geo_value"],
     )
-    scored = with_f1(box_pixel_counts(spatial.score_boxes(pairs), L.PIXEL))
-    return best_match(scored, ["id"]).where("g_fid is not null").select("p_fid", "g_fid", "iou_units", "true_positives")
+    return found.where("g_fid is not null").select("p_fid", "g_fid", "iou_units", "true_positives")
 
 
 @query(
@@ -407,16 +402,12 @@ def w04_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
       count(*) OVER (PARTITION BY id, geo_value, system) AS num_cand_perf FROM pairs GROUP BY id, geo_value, system, p_fid""",
 )
 def w05(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = spatial.spatial_pairs(
-        L.performers(spark, sf_dir).select("id", "geo_value", "fid", "bbox", "system"),
-        L.truths(spark, sf_dir).select("id", "geo_value", "fid", "bbox"),
-        ["id", "geo_value"],
-        L.CELL,
-    )
     group = ["id", "geo_value", "system"]
-    per_feature = pairs.groupBy("id", "geo_value", F.col("p_system").alias("system"), "p_fid").agg(
-        F.count("*").alias("num_cand_geom")
-    )
+    per_feature = evaluate.match_boxes(
+        L.performers(spark, sf_dir).select(*group, "fid", "bbox"),
+        L.truths(spark, sf_dir).select("id", "geo_value", "fid", "bbox"),
+        L.CELL, L.PIXEL, ["id", "geo_value"],
+    ).select(*group, "p_fid", "num_cand_geom")
     per_label = per_feature.groupBy(*group).agg(F.count("*").alias("num_cand_perf"))
     return per_feature.join(per_label, group)
 
