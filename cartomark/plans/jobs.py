@@ -23,6 +23,10 @@ from cartomark.session import materialize
 from cartomark.sources import writers
 
 
+#: Label under which features without a usable one meet all truth of a map.
+ANY_LABEL = "*"
+
+
 def prepare_truth(
     features: DataFrame,
     raster_labels: DataFrame,
@@ -125,29 +129,39 @@ def evaluate_features(
     dynamic_buffer: float = 0.05,
     crude_kinds: tuple[str, ...] = ("point", "line"),
 ) -> dict[str, DataFrame]:
-    """Match metrics of all feature kinds, by route.
+    """Match metrics of all feature kinds and routes in one pass.
 
     Files routed ``direct`` are matched per label, their unlabelled features
     against every label of the map; files routed ``crude`` against truth of the
-    same kind, for the kinds listed.
+    same kind, for the kinds listed. Truth therefore takes part under its own
+    label and under ``ANY_LABEL``; only the latter meets features without one.
     """
     files = orchestrate.file_orchestration(schema, truth_labels, synopsis)
     routed = features.join(files.select(*prepare.FILE_KEYS, "route"), prepare.FILE_KEYS)
+    direct = F.col("route") == "direct"
+    crude = (F.col("route") == "crude") & F.col("feature_type").isin(*crude_kinds)
+    named = direct & (F.col("geo_value") != USE_SPATIAL_INDEX)
+    perf = routed.where(direct | crude).withColumn(
+        "match_label", F.when(named, F.col("geo_value")).otherwise(ANY_LABEL)
+    )
     truth = truth.withColumnRenamed("geom_type", "feature_type")
-    direct = routed.where("route = 'direct'")
-    crude = routed.where((F.col("route") == "crude") & F.col("feature_type").isin(*crude_kinds))
-    parts = (
-        (direct.where(F.col("geo_value") != USE_SPATIAL_INDEX), ("id", "feature_type", "geo_value"), "matched"),
-        (direct.where(F.col("geo_value") == USE_SPATIAL_INDEX), ("id", "feature_type"), "unlabelled"),
-        (crude, ("id", "feature_type"), "crude"),
+    under = truth.withColumn("match_label", F.explode(F.array("geo_value", F.lit(ANY_LABEL))))
+    metrics = evaluate.evaluate_geometries(
+        perf, under, rasters, cell, scales=scales, dynamic_buffer=dynamic_buffer,
+        match=("id", "feature_type", "match_label"),
+    )
+    route = files.select("id", "feature_type", *evaluate.SYSTEM, "route")
+    any_label = F.col("match_label") == ANY_LABEL
+    metrics = metrics.join(route, ["id", "feature_type", *evaluate.SYSTEM]).withColumns(
+        {
+            "match_type": F.when(~any_label, "matched")
+            .when(F.col("route") == "crude", "crude")
+            .otherwise("unlabelled"),
+            "geo_value": F.when(~any_label, F.col("match_label")),
+            "geo_value_query": ~any_label,
+        }
     )
-    metrics = None
-    for perf, match, route in parts:
-        rows = evaluate.evaluate_geometries(
-            perf, truth, rasters, cell, scales=scales, dynamic_buffer=dynamic_buffer, match=match
-        ).withColumns({"match_type": F.lit(route), "geo_value_query": F.lit(route == "matched")})
-        metrics = rows if metrics is None else metrics.unionByName(rows, allowMissingColumns=True)
-    metrics = materialize(metrics, "match-metrics")
+    metrics = materialize(metrics.drop("match_label", "route"), "match-metrics")
     return {
         "orchestration": files,
         "label_work": orchestrate.label_orchestration(schema, truth_labels, synopsis),
