@@ -220,15 +220,18 @@ def evaluate_geometries(
 
     def shaped(side: DataFrame) -> DataFrame:
         # The digest of the geometry is the key under which copies are compared once.
-        return sized(side).withColumn("shape", F.sha2(F.to_json("geom"), 256))
+        return sized(side).withColumn("shape", F.md5(F.to_json("geom")))
 
     perf, truth = shaped(perf), shaped(truth)
-    grown = F.first(G.grown_box(G.geometry_box(F.col("geom")), F.col("_radius"))).alias("bbox")
-    shapes_p = perf.groupBy(*match, "shape").agg(grown)
-    shapes_g = truth.groupBy(*match, "shape").agg(
-        grown, F.min("fid").alias("fid"), F.count("*").alias("copies")
-    )
-    pairs = spatial_pairs(shapes_p, shapes_g, match, cell)
+    shape_cols = [*match, "shape", "geom", "_radius"]
+    shapes_p = perf.select(*shape_cols).distinct()
+    shapes_g = truth.groupBy(*shape_cols).agg(F.min("fid").alias("fid"), F.count("*").alias("copies"))
+
+    def boxed(shapes: DataFrame) -> DataFrame:
+        grown = G.grown_box(G.geometry_box(F.col("geom")), F.col("_radius"))
+        return shapes.withColumn("bbox", grown).drop("geom", "_radius")
+
+    pairs = spatial_pairs(boxed(shapes_p), boxed(shapes_g), match, cell)
     meets = G.boxes_intersect(F.col("p_bbox"), F.col("g_bbox"))
     pairs = pairs.select(*match, "p_shape", "g_shape", "g_fid", "g_copies", meets.alias("_meets"))
     # Five branches read the pairs: which shapes to rasterise on either side, the
@@ -238,10 +241,10 @@ def evaluate_geometries(
     # A shape is rasterised on the image of its map, hence once per map.
     image = F.concat_ws("@", F.col("id").cast("string"), F.col("_shape"))
 
-    def runs(side: DataFrame, shape: str) -> DataFrame:
+    def runs(shapes: DataFrame, shape: str) -> DataFrame:
         used = pairs.where("_meets").select("id", F.col(shape).alias("shape")).distinct()
-        once = side.join(used, ["id", "shape"], "left_semi").dropDuplicates(["id", "shape"])
-        px = to_pixels(once.withColumn("_shape", F.col("shape")), rasters).withColumns(
+        once = shapes.select("id", "shape", "geom", "_radius").join(used, ["id", "shape"], "left_semi").distinct()
+        px = to_pixels(once.withColumnRenamed("shape", "_shape"), rasters).withColumns(
             {"fid": image, "_px_radius": F.col("_radius") / F.col("px_width")}
         )
         carry = ["width", "height"]
@@ -254,7 +257,7 @@ def evaluate_geometries(
         return F.concat_ws("@", F.col("id").cast("string"), F.col(shape))
 
     meeting = pairs.where("_meets").select(keyed("p_shape").alias("p_fid"), keyed("g_shape").alias("g_fid")).distinct()
-    scored = R.pixel_scores(meeting, runs(perf, "p_shape"), runs(truth, "g_shape"))
+    scored = R.pixel_scores(meeting, runs(shapes_p, "p_shape"), runs(shapes_g, "g_shape"))
     tp = F.col("true_positives")
     union = (F.col("len_pdf") + F.col("len_gdf") - tp).cast("double")
     scored = scored.select(
