@@ -90,12 +90,13 @@ def _level(box: Column, size: float) -> Column:
 
 
 def _oversize(side: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Coarse levels in use per key: a handful of integers per key that has any."""
-    return (
-        side.where("_level > 0")
-        .groupBy(*keys)
-        .agg(F.collect_set("_level").alias("_coarser"))
-    )
+    """Coarse levels in use per key: a handful of integers per key that has any.
+
+    The level test stays inside the aggregate, so that this branch reads the same
+    exchange as the join instead of filtering its own copy of the input.
+    """
+    levels = F.collect_set(F.when(F.col("_level") > 0, F.col("_level"))).alias("_coarser")
+    return side.groupBy(*keys).agg(levels).where(F.size("_coarser") > 0)
 
 
 def _place(side: DataFrame, size: float, slots: Column) -> DataFrame:
@@ -150,22 +151,26 @@ def spatial_pairs(
         return F.struct(F.lit(name).alias("slot"), level.cast("int").alias("level"))
 
     own = F.col("_level")
+    at_home = F.array(slot("a", own))
     if oversize:
         coarse_of_perf, coarse_of_truth = (_oversize(s, keys) for s in sides)
-        none = F.array().cast("array<int>")
         p = sides[0].join(coarse_of_truth, list(keys), "left")
         g = sides[1].join(coarse_of_perf, list(keys), "left")
-        above = F.filter(F.coalesce(F.col("_coarser"), none), lambda lv: lv > own)
-        visits_b = F.transform(above, lambda lv: slot("b", lv))
-        visits_a = F.transform(above, lambda lv: slot("a", lv))
-        p_slots = F.concat(F.array(slot("a", own)), visits_b)
-        host = F.when(own > 0, F.array(slot("b", own))).otherwise(
-            F.array().cast("array<struct<slot:string,level:int>>")
+
+        def visits(name: str) -> Column:
+            above = F.filter("_coarser", lambda lv: lv > own)
+            return F.transform(above, lambda lv: slot(name, lv))
+
+        # Most keys have no oversize feature; their rows take the short branch.
+        plain = F.col("_coarser").isNull()
+        p_slots = F.when(plain, at_home).otherwise(F.concat(at_home, visits("b")))
+        host = F.filter(F.array(slot("b", own)), lambda s: s["level"] > 0)
+        g_slots = F.when(plain & (own == 0), at_home).otherwise(
+            F.concat(at_home, F.when(plain, F.array().cast("array<struct<slot:string,level:int>>")).otherwise(visits("a")), host)
         )
-        g_slots = F.concat(F.array(slot("a", own)), visits_a, host)
     else:
         p, g = sides
-        p_slots = g_slots = F.array(slot("a", own))
+        p_slots = g_slots = at_home
 
     placed_p = _place(p, size, p_slots)
     placed_g = _place(g, size, g_slots)

@@ -248,10 +248,10 @@ def evaluate_geometries(
             {"fid": image, "_px_radius": F.col("_radius") / F.col("px_width")}
         )
         carry = ["width", "height"]
-        plain = R.outline_runs(px.where("_radius = 0"), carry)
-        round_ = R.buffer_runs(px.where("_radius > 0"), "_px_radius", carry)
-        both = plain.unionByName(round_)
-        return R.clip_runs(both, F.col("width"), F.col("height")).drop(*carry)
+        found = R.outline_runs(px.where("_radius = 0"), carry)
+        if scales is not None:
+            found = found.unionByName(R.buffer_runs(px.where("_radius > 0"), "_px_radius", carry))
+        return R.clip_runs(found, F.col("width"), F.col("height")).drop(*carry)
 
     def keyed(shape: str) -> Column:
         return F.concat_ws("@", F.col("id").cast("string"), F.col(shape))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartomark.functions import geometry as G
+from cartomark.sources import readers
 
 #: Base cell and coarse levels above it, and pixel size, in map units.
 CELL = 200
@@ -28,7 +29,7 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     y0 = F.floor(F.col("l_extendedprice") / 20).cast("bigint")
     wide = F.round(F.col("l_discount") * 100).cast("bigint")
     high = F.round(F.col("l_tax") * 100).cast("bigint")
-    return table(spark, sf_dir, "lineitem").select(
+    return readers.spread(table(spark, sf_dir, "lineitem")).select(
         F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey").alias("fid"),
         F.col("l_suppkey").alias("id"),
         F.col("l_returnflag").alias("geo_value"),
@@ -81,7 +82,7 @@ def eval_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as labelled points in two roles."""
-    return table(spark, sf_dir, "events").select(
+    return readers.spread(table(spark, sf_dir, "events")).select(
         F.col("event_id").alias("fid"),
         F.col("event_type").alias("geo_value"),
         F.col("value").alias("x"),
