@@ -57,6 +57,31 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "ref_index") -> DataFrame:
+    """Number the rows of each key from 0 in an order that is unique within it.
+
+    Rows are range-partitioned and numbered inside their part; each part starts
+    where the key's earlier parts end. A key with very many rows thus spreads
+    over many tasks.
+    """
+    placed = materialize(
+        df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()), "row-index"
+    )
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        placed.groupBy(*keys, "_part")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("bigint")))
+        .drop("_n")
+    )
+    inside = Window.partitionBy(*keys, "_part").orderBy(*order)
+    return (
+        placed.join(parts, [*keys, "_part"])
+        .withColumn(out, F.col("_before") + F.row_number().over(inside) - 1)
+        .drop("_part", "_before")
+    )
+
+
 def _ranked_values(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Distinct values with cumulative counts, range-partitioned over the cluster."""
     counted = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))

@@ -21,7 +21,11 @@ MAX_LEVEL = 30
 
 
 def with_cells(df: DataFrame, size: float, levels: int, box: str = "bbox") -> DataFrame:
-    """Add the fine cells of the box and their distinct coarse parents as arrays."""
+    """Add the fine cells of the box and their distinct coarse parents as arrays.
+
+    For boxes of a bounded number of cells; joins use :func:`spatial_pairs`, which
+    places larger ones at a coarser level.
+    """
     b = F.col(box)
     cells = bbox_cover(b["xmin"], b["ymin"], b["xmax"], b["ymax"], size)
     return df.withColumn("fine_cells", cells).withColumn(

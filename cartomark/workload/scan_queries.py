@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartomark.functions import nested as N
+from cartomark.operators import balance
 from cartomark.operators.spatial import with_cells
 from cartomark.plans import inventory, orchestrate
 from cartomark.session import shared_folder
@@ -448,13 +449,10 @@ def p11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "p12_row_index",
-    L.with_sql(L.BOXES_SQL) + "SELECT id, fid, (row_number() OVER (PARTITION BY id ORDER BY fid) - 1)::INTEGER AS ref_index FROM truth",
+    L.with_sql(L.BOXES_SQL) + "SELECT id, fid, row_number() OVER (PARTITION BY id ORDER BY fid) - 1 AS ref_index FROM truth",
 )
 def p12(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("id").orderBy("fid")
-    return L.truths(spark, sf_dir).select("id", "fid", (F.row_number().over(w) - 1).alias("ref_index"))
+    return balance.row_index(L.truths(spark, sf_dir).select("id", "fid"), ["id"], ["fid"])
 
 
 @query(

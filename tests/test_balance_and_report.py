@@ -56,6 +56,18 @@ def test_salted_join_is_the_plain_join(spark):
     assert got == want
 
 
+def test_row_index_spreads_one_key(spark):
+    df = spark.range(500).select(F.when(F.col("id") < 450, "hot").otherwise("cold").alias("k"), F.hash("id").alias("v"))
+    got = balance.row_index(df, ["k"], ["v"])
+    by_key = {}
+    for r in got.collect():
+        by_key.setdefault(r.k, []).append((r.ref_index, r.v))
+    for rows in by_key.values():
+        rows.sort()
+        assert [i for i, _ in rows] == list(range(len(rows)))
+        assert [v for _, v in rows] == sorted(v for _, v in rows)
+
+
 def test_first_per_key_limits_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
     first = balance.first_per_key(df, ["k"], [F.desc("id")])
