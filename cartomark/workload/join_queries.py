@@ -11,7 +11,7 @@ from cartomark.operators.similarity import best_matches
 from cartomark.plans import evaluate, georef, inventory, labels, orchestrate
 from cartomark.workload import logical as L
 from cartomark.workload.registry import query
-from cartomark.workload.scan_queries import CELLS_SQL, ROUTE_SQL, route_inputs, z_sql
+from cartomark.workload.scan_queries import ROUTE_SQL, route_inputs, z_sql
 from cartomark.workload.spatial_queries import written_metrics
 
 BOXES = L.with_sql(L.BOXES_SQL)

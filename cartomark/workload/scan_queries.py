@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cartomark.functions import nested as N
 from cartomark.operators import balance
 from cartomark.operators.spatial import with_cells
-from cartomark.plans import inventory, orchestrate
+from cartomark.plans import orchestrate
 from cartomark.session import shared_folder
 from cartomark.sources import manifest, readers, writers
 from cartomark.workload import logical as L

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartomark.functions import geometry as G
-from cartomark.operators import balance, raster, spatial
 from cartomark.plans import evaluate, report
 from cartomark.session import materialize
 from cartomark.workload import logical as L
