@@ -61,6 +61,8 @@ def template_windows(source: DataFrame, *, sizes: tuple[int, ...], min_words: in
 
     Numbers, units and names become typed placeholders before hashing; ``slots``
     holds their values in order. A unit counts as one only behind a number.
+    Windows with names come a second time with the names as plain words, so that
+    an upper-cased or lower-cased copy still meets its item.
     Windows with fewer than ``min_words`` plain words (or their whole size, if
     smaller) say nothing and are left out. ``keep`` is a bit filter of window
     hashes; without it every window is returned. ``words`` is the number of
@@ -94,28 +96,33 @@ def template_windows(source: DataFrame, *, sizes: tuple[int, ...], min_words: in
             first = np.diff(doc, prepend=-1) != 0
             after_number = np.concatenate([[False], kind[:-1] == 1]) & ~first
             kind = np.where((kind == 2) & ~after_number, 0, kind)
-            value = hashes[token]
-            for k, h in constants.items():
-                value = np.where(kind == k, np.uint64(h), value)
-            value = _mix(value)
-            plain = np.concatenate([[0], np.cumsum(kind == 0)])
             counts = np.bincount(doc, minlength=batch.num_rows)
             begin = np.cumsum(counts) - counts
+            named = np.concatenate([[0], np.cumsum(kind == 3)])
             out = []
-            for size in sizes:
-                n = len(token) - size + 1
-                if n <= 0:
-                    continue
-                h = np.zeros(n, dtype=np.uint64)
-                for k in range(size):
-                    h = _mix(h + value[k : k + n])
-                good = (doc[:n] == doc[size - 1 :]) & (plain[size:] - plain[:n] >= min(min_words, size))
-                if keep is not None:
-                    place = (h & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-                    good &= (keep[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-                for i in np.flatnonzero(good):
-                    slots = [names[token[j]].strip() for j in range(i, i + size) if kind[j] > 0]
-                    out.append((doc[i], i - begin[doc[i]], h[i : i + 1].view(np.int64)[0], size, counts[doc[i]], [_EDGE.sub("", s).lower() for s in slots]))
+            # Once with names as placeholders, once as words: case may be lost in either text.
+            for typed, kinds_read in ((True, kind), (False, np.where(kind == 3, 0, kind))):
+                value = hashes[token]
+                for k, h in constants.items():
+                    value = np.where(kinds_read == k, np.uint64(h), value)
+                value = _mix(value)
+                plain = np.concatenate([[0], np.cumsum(kinds_read == 0)])
+                for size in sizes:
+                    n = len(token) - size + 1
+                    if n <= 0:
+                        continue
+                    h = np.zeros(n, dtype=np.uint64)
+                    for k in range(size):
+                        h = _mix(h + value[k : k + n])
+                    good = (doc[:n] == doc[size - 1 :]) & (plain[size:] - plain[:n] >= min(min_words, size))
+                    if not typed:
+                        good &= named[size:] > named[:n]
+                    if keep is not None:
+                        place = (h & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+                        good &= (keep[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+                    for i in np.flatnonzero(good):
+                        slots = [_EDGE.sub("", names[token[j]]).lower() for j in range(i, i + size) if kinds_read[j] > 0]
+                        out.append((doc[i], i - begin[doc[i]], h[i : i + 1].view(np.int64)[0], size, counts[doc[i]], slots))
             if out:
                 d, pos, h, size, words, slots = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays(
