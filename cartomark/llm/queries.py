@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartomark.llm import chat_format, decontamination, line_dedup, packing, simhash, toxicity
+from cartomark.llm import chat_format, decontamination, line_dedup, packing, secret_scan, simhash, toxicity
 from cartomark.llm.common import byte_bpe, table
 from cartomark.llm.registry import query
 
@@ -74,3 +74,18 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_benchmark_decontamination")
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_secret_scans")
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(k) for k in secret_scan.BASE],
+        F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.written(F.sort_array(F.concat("base", "added"))).alias("spans"),
+    )
