@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartomark.llm import chat_format, decontamination, line_dedup, packing, secret_scan, simhash, toxicity
+from cartomark.llm import chat_format, decontamination, license_scan, line_dedup, packing, secret_scan, simhash, toxicity
 from cartomark.llm.common import byte_bpe, table
 from cartomark.llm.registry import query
 
@@ -89,3 +89,8 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scan.written(F.col("base")), 256).alias("base_sha256"),
         secret_scan.written(F.sort_array(F.concat("base", "added"))).alias("spans"),
     )
+
+
+@query("op8_license_scans")
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
