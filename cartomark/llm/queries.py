@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartomark.llm import chat_format, decontamination, license_scan, line_dedup, packing, secret_scan, simhash, toxicity
+from cartomark.llm import chat_format, decontamination, license_scan, line_dedup, packing, secret_scan, simhash, toxicity, vector_search
 from cartomark.llm.common import byte_bpe, table
 from cartomark.llm.registry import query
 
@@ -94,3 +94,22 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_license_scans")
 def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs) WHERE rank <= 5
+"""
+
+
+@query("op3_exact_top_k", TOP_K_SQL)
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
