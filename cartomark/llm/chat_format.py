@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartomark.llm.common import slices
+
 START, END = "<|im_start|>", "<|im_end|>"
 #: Content bytes assembled in one buffer; longer batches are cut into such pieces.
 BUFFER_BYTES = 32 << 20
@@ -89,48 +91,42 @@ def format_conversations(
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, segment = object(), 0
-        for whole in batches:
-            sizes = np.cumsum(pc.fill_null(pc.binary_length(whole.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-            cuts = [0, *(np.flatnonzero(np.diff(sizes // BUFFER_BYTES)) + 1), whole.num_rows]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                if a == b:
-                    continue
-                batch = whole.slice(a, b - a)
-                conv = batch.column(0)
-                plain_role = pc.fill_null(batch.column(1), "")
-                role, text = escape_role(plain_role), escape(pc.fill_null(batch.column(2), ""))
-                out, turn_ends = assemble(role, text)
-                same = conv.to_pylist()
-                changes = [i for i in range(len(same)) if i == 0 or same[i] != same[i - 1]]
-                stops = [*changes[1:], len(same)]
-                bounds = np.concatenate([[0], turn_ends[np.array(stops) - 1]]).astype(np.int32)
-                numbers = []
-                for i in changes:
-                    segment = segment + 1 if same[i] == last else 0
-                    last = same[i]
-                    numbers.append(segment)
-                # Spans: code points before each text inside its segment.
-                n_text = pc.utf8_length(text).to_numpy().astype(np.int64)
-                before = len(START) + pc.utf8_length(role).to_numpy().astype(np.int64) + 1
-                total = before + n_text + len(END) + 1
-                reach = np.cumsum(total) - total
-                base = np.repeat(reach[changes], np.diff([*changes, len(same)]))
-                begin = reach - base + before
-                trained = pc.equal(plain_role, trained_role).to_numpy(zero_copy_only=False)
-                counts = np.add.reduceat(trained.astype(np.int32), changes)
-                spans = pa.StructArray.from_arrays(
-                    [pa.array(begin[trained].astype(np.int32)), pa.array((begin + n_text)[trained].astype(np.int32))], ["start", "end"]
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([same[i] for i in changes], pa.int64()),
-                        pa.array(numbers, pa.int32()),
-                        pa.array(np.diff([*changes, len(same)]).astype(np.int32)),
-                        pa.StringArray.from_buffers(len(changes), pa.py_buffer(bounds), pa.py_buffer(out)),
-                        pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), spans),
-                    ],
-                    ["conv_id", "segment", "n_turns", "formatted", "loss_spans"],
-                )
+        for batch in slices(batches, 2, BUFFER_BYTES):
+            conv = batch.column(0)
+            plain_role = pc.fill_null(batch.column(1), "")
+            role, text = escape_role(plain_role), escape(pc.fill_null(batch.column(2), ""))
+            out, turn_ends = assemble(role, text)
+            same = conv.to_pylist()
+            changes = [i for i in range(len(same)) if i == 0 or same[i] != same[i - 1]]
+            stops = [*changes[1:], len(same)]
+            bounds = np.concatenate([[0], turn_ends[np.array(stops) - 1]]).astype(np.int32)
+            numbers = []
+            for i in changes:
+                segment = segment + 1 if same[i] == last else 0
+                last = same[i]
+                numbers.append(segment)
+            # Spans: code points before each text inside its segment.
+            n_text = pc.utf8_length(text).to_numpy().astype(np.int64)
+            before = len(START) + pc.utf8_length(role).to_numpy().astype(np.int64) + 1
+            total = before + n_text + len(END) + 1
+            reach = np.cumsum(total) - total
+            base = np.repeat(reach[changes], np.diff([*changes, len(same)]))
+            begin = reach - base + before
+            trained = pc.equal(plain_role, trained_role).to_numpy(zero_copy_only=False)
+            counts = np.add.reduceat(trained.astype(np.int32), changes)
+            spans = pa.StructArray.from_arrays(
+                [pa.array(begin[trained].astype(np.int32)), pa.array((begin + n_text)[trained].astype(np.int32))], ["start", "end"]
+            )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([same[i] for i in changes], pa.int64()),
+                    pa.array(numbers, pa.int32()),
+                    pa.array(np.diff([*changes, len(same)]).astype(np.int32)),
+                    pa.StringArray.from_buffers(len(changes), pa.py_buffer(bounds), pa.py_buffer(out)),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), spans),
+                ],
+                ["conv_id", "segment", "n_turns", "formatted", "loss_spans"],
+            )
 
     ordered = (
         rows.select(

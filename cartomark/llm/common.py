@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +40,13 @@ def byte_bpe() -> dict[str, str]:
         "ranks_file": public_tokenizers.path("byte_bpe_50k.tiktoken"),
         "pattern": public_tokenizers.PATTERN,
     }
+
+
+def slices(batches: Iterator[pa.RecordBatch], text_column: int, limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut at about ``limit`` bytes of text, so that derived arrays stay small."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text_column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // limit)) + 1), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if b > a:
+                yield batch.slice(a, b - a)

@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartomark.llm.common import slices
 from cartomark.session import materialize
 
 #: Units that may follow a number.
@@ -73,7 +74,7 @@ def template_windows(source: DataFrame, *, sizes: tuple[int, ...], min_words: in
         import xxhash
 
         constants = {k: xxhash.xxh64_intdigest(v) for k, v in PLACEHOLDERS.items()}
-        for batch in batches:
+        for batch in slices(batches, 1):
             text = pc.fill_null(batch.column(1), "")
             lists = pc.utf8_split_whitespace(text)
             coded = pc.list_flatten(lists).dictionary_encode()

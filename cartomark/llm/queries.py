@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartomark.llm import chat_format, decontamination, license_scan, line_dedup, packing, secret_scan, simhash, toxicity, vector_search
+from cartomark.llm import chat_format, decontamination, license_scan, line_dedup, lm_scoring, packing, secret_scan, simhash, toxicity, vector_search
 from cartomark.llm.common import byte_bpe, table
 from cartomark.llm.registry import query
 
@@ -113,3 +113,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 @query("op3_exact_top_k", TOP_K_SQL)
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+@query("op1_lm_scoring")
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(5)) == 1
+    scored = lm_scoring.score_documents(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
