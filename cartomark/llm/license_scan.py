@@ -85,7 +85,7 @@ def scan_licenses(
     and short texts hold nothing. Rows without an id are left out. Repeated rows
     give one row, and rows repeating an id are scanned each and reported
     together. Other columns are ignored; an empty table gives an empty table.
-    The template list is fixed and small: Spark may broadcast it by its size.
+    The template list is the caller's own and is broadcast.
     """
     spark = docs.sparkSession
     table = template_table(spark, templates, shingle_words, bands)
@@ -144,15 +144,18 @@ def scan_licenses(
     windows = hit.select("doc_id", "version", F.explode(F.concat(*[windows_of(w) for w in widths])).alias("w")).select("doc_id", "version", "w.*")
     banded = windows.select("doc_id", "version", "width", "start", "around", F.posexplode(minhash(F.col("inside"), bands)).alias("band", "value"))
     templated = table.select("template", "license", "shingles", F.col("width"), F.posexplode("bands").alias("band", "value"))
-    candidates = banded.join(templated, ["width", "band", "value"]).dropDuplicates(["doc_id", "version", "width", "start", "template"])
+    # The templates are a list the caller holds, so this broadcast has a proven bound;
+    # verified at once, candidates shuffle without their shingles.
     share = F.size(F.array_intersect("shingles", "around")) / F.size("shingles")
+    verified = banded.join(F.broadcast(templated), ["width", "band", "value"]).select(
+        "doc_id", "license", "start", F.struct("version", "width", "start").alias("window"), share.alias("containment")
+    )
     return (
-        candidates.withColumn("containment", share)
-        .where(F.col("containment") >= containment)
+        verified.where(F.col("containment") >= containment)
         .groupBy("doc_id", "license")
         .agg(
             F.max("containment").alias("containment"),
-            F.count(F.lit(1)).alias("n_windows"),
+            F.countDistinct("window").alias("n_windows"),
             F.min("start").cast("long").alias("first_word"),
         )
     )
