@@ -179,7 +179,9 @@ def top_k(
         .withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
     )
     dealt = blocks.withColumn("share", F.pmod(F.xxhash64("ids"), F.lit(SHARES)).cast("int"))
-    pairs = dealt.join(packed, (F.col("dim") == F.col("qdim")) & (dealt["share"] == packed["share"]))
+    # Copies of a query block compress so well that their shuffled size would pass
+    # for small; a merge join keeps them from being broadcast.
+    pairs = dealt.join(packed.hint("merge"), (F.col("dim") == F.col("qdim")) & (dealt["share"] == packed["share"]))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
