@@ -107,21 +107,24 @@ def _range_quantiles(rows: DataFrame, keys: Sequence[str], probs: Sequence[float
     sizes = parts.groupBy(*keys).agg(F.sum("_in_part").alias("_total"))
     wanted = sizes.withColumn("_p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
     wanted = wanted.withColumn("_h", (F.col("_total") - 1) * F.col("_p"))
-    wanted = wanted.withColumn("_frac", F.col("_h") - F.floor("_h")).withColumn(
+    wanted = wanted.withColumn("_ceil", F.ceil("_h")).withColumn(
         "_rank", F.explode(F.array_distinct(F.array(F.floor("_h"), F.ceil("_h"))))
     )
     located = parts.join(wanted, list(keys)).where(
         (F.col("_rank") >= F.col("_before"))
         & (F.col("_rank") < F.col("_before") + F.col("_in_part"))
     )
-    located = located.select(*keys, "_part", "_p", "_frac", "_rank")
+    located = located.select(*keys, "_part", "_p", "_h", "_ceil", "_rank")
     hits = ranked.join(located, [*keys, "_part"]).where(
         (F.col("_rank") >= F.col("_upto") - F.col("_n")) & (F.col("_rank") < F.col("_upto"))
     )
     per_prob = hits.groupBy(*keys, "_p").agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.max("_frac").alias("_frac")
+        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.max("_h").alias("_h"), F.max("_ceil").alias("_ceil")
+    )
+    # The built-in aggregate's own formula, so that both give the same bits.
+    value = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(
+        (F.col("_ceil") - F.col("_h")) * F.col("_lo") + (F.col("_h") - F.floor("_h")) * F.col("_hi")
     )
-    value = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")
     return per_prob.groupBy(*keys).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("_p", value.alias("v")))), lambda s: s["v"]

@@ -58,13 +58,23 @@ def _crossing_x(row_y: Column) -> Column:
     return F.col("x1") + (row_y - F.col("y1")) * slope
 
 
-def outline_runs(features: DataFrame, carry: Sequence[str] = (), geom: str = "px_geom") -> DataFrame:
+def _rows_between(low: Column, high: Column, height: str | None) -> Column:
+    """Row numbers from ``low`` to ``high``, none outside an image of ``height`` rows."""
+    if height is not None:
+        low, high = F.greatest(low, F.lit(0).cast("bigint")), F.least(high, F.col(height).cast("bigint") - 1)
+    return F.when(low <= high, F.sequence(low, high))
+
+
+def outline_runs(
+    features: DataFrame, carry: Sequence[str] = (), geom: str = "px_geom", height: str | None = None
+) -> DataFrame:
     """Runs of polygons (filled), lines and points given in whole-pixel coordinates.
 
     The outline takes the pixel nearest to it on every step of its major axis;
     a polygon adds the pixels inside by the even-odd rule over all its rings.
     Each edge is cut into one row per image row it crosses before any grouping,
-    so a large outline spreads over many tasks.
+    so a large outline spreads over many tasks. Given the image ``height`` (a
+    carried column), rows outside it are never unfolded.
     """
     keep = ["fid", *carry]
     is_polygon = F.col(geom)["kind"] == "polygon"
@@ -81,7 +91,7 @@ def outline_runs(features: DataFrame, carry: Sequence[str] = (), geom: str = "px
 
     low_y, high_y = F.least("y1", "y2"), F.greatest("y1", "y2")
     rows = edges.withColumn(
-        "row", F.explode(F.sequence(_nearest(low_y), _nearest(high_y)))
+        "row", F.explode(_rows_between(_nearest(low_y), _nearest(high_y), height))
     )
     y = F.col("row").cast("double")
     low_x, high_x = F.least("x1", "x2"), F.greatest("x1", "x2")
@@ -128,7 +138,13 @@ def box_runs(features: DataFrame, pixel: float, carry: Sequence[str] = (), box:
     )
 
 
-def buffer_runs(features: DataFrame, radius: str, carry: Sequence[str] = (), geom: str = "px_geom") -> DataFrame:
+def buffer_runs(
+    features: DataFrame,
+    radius: str,
+    carry: Sequence[str] = (),
+    geom: str = "px_geom",
+    height: str | None = None,
+) -> DataFrame:
     """Runs of pixels whose centre lies within ``radius`` pixels of a point or line.
 
     The neighbourhood of one segment is convex, so each row holds one run per
@@ -149,9 +165,10 @@ def buffer_runs(features: DataFrame, radius: str, carry: Sequence[str] = (), geo
     rows = seg.withColumn(
         "row",
         F.explode(
-            F.sequence(
+            _rows_between(
                 F.ceil(F.least("y1", "y2") - r).cast("bigint"),
                 F.floor(F.greatest("y1", "y2") + r).cast("bigint"),
+                height,
             )
         ),
     )

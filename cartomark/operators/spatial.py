@@ -189,6 +189,12 @@ def spatial_pairs(
     on = [F.col(c) == F.col(f"_g{c}") for c in join_cols]
     on.append(F.col("_col") == F.greatest(F.col("p__c0"), F.col("g__c0")))
     on.append(F.col("_row") == F.greatest(F.col("p__r0"), F.col("g__r0")))
+    if oversize:
+        # Boxes met at a coarser level count only if their covers meet at the base size too.
+        a, b = F.col("p_bbox"), F.col("g_bbox")
+        for lo, hi in (("xmin", "xmax"), ("ymin", "ymax")):
+            on.append(axis_cell(a[lo], size) <= axis_cell(b[hi], size))
+            on.append(axis_cell(b[lo], size) <= axis_cell(a[hi], size))
     if condition is not None:
         on.append(condition)
     cond = on[0]

@@ -203,11 +203,13 @@ def evaluate_geometries(
     """Match metrics of points, lines and polygons with full geometry.
 
     Points and lines are grown by the scale-dependent radius of ``scales`` (id,
-    scale); without it they are compared as bare pixels. Boxes alone make the
+    scale; of repeated ids the least scale counts); on maps without one they are
+    compared as bare pixels. Boxes alone make the
     candidates; runs are made once per feature that has any, and IoU and F1 both
     come from the shared pixels.
     """
     group = [*match, *[c for c in SYSTEM if c in perf.columns]]
+    rasters = rasters.dropDuplicates(["id"])
 
     def sized(side: DataFrame) -> DataFrame:
         if scales is None:
@@ -216,7 +218,10 @@ def evaluate_geometries(
             F.col("geom")["kind"].isin("point", "line"),
             G.buffer_radius(F.col("scale"), dynamic_buffer),
         ).otherwise(F.lit(0.0))
-        return side.join(scales.select("id", "scale"), "id").withColumn("_radius", grown).drop("scale")
+        known = scales.groupBy("id").agg(F.min("scale").alias("scale"))
+        return (
+            side.join(known, "id", "left").withColumn("_radius", F.coalesce(grown, F.lit(0.0))).drop("scale")
+        )
 
     def shaped(side: DataFrame) -> DataFrame:
         # The digest of the geometry is the key under which copies are compared once.
@@ -248,9 +253,9 @@ def evaluate_geometries(
             {"fid": image, "_px_radius": F.col("_radius") / F.col("px_width")}
         )
         carry = ["width", "height"]
-        found = R.outline_runs(px.where("_radius = 0"), carry)
+        found = R.outline_runs(px.where("_radius = 0"), carry, height="height")
         if scales is not None:
-            found = found.unionByName(R.buffer_runs(px.where("_radius > 0"), "_px_radius", carry))
+            found = found.unionByName(R.buffer_runs(px.where("_radius > 0"), "_px_radius", carry, height="height"))
         return R.clip_runs(found, F.col("width"), F.col("height")).drop(*carry)
 
     def keyed(shape: str) -> Column:

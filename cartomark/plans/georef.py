@@ -254,10 +254,13 @@ def sample_errors(fitted: DataFrame, samples: DataFrame, method: str) -> DataFra
 
 
 def rmse(errors: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Root mean square of ``km`` per group, with the sampled points in order of ``k``."""
+    """Root mean square of ``km`` per group, with the sampled points in order of ``k``.
+
+    Null where a distance is unknown: a mean over fewer points than stated would mislead.
+    """
     lists = F.array_sort(F.collect_list(F.struct("k", "km", "annotated_pnt", "performer_pnt")))
     out = errors.groupBy(*keys).agg(
-        F.sqrt(F.avg(F.col("km") * F.col("km"))).alias("rmse"),
+        F.when(F.count("km") == F.count("*"), F.sqrt(F.avg(F.col("km") * F.col("km")))).alias("rmse"),
         F.count("*").alias("sample_pnts"),
         lists.alias("_l"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cartomark.functions import text as T
 from cartomark.functions.geometry import USE_SPATIAL_INDEX, boxes_intersect
 from cartomark.functions.projection import UNITS, unit_lookup
+from cartomark.functions.text import sequence_ratio
 from cartomark.operators.balance import first_per_key
 from cartomark.operators.similarity import best_matches, similar_pairs, tfidf_cosine
 from cartomark.operators.spatial import score_boxes, spatial_pairs
@@ -315,11 +316,12 @@ def ontology_report(values: DataFrame, onto: DataFrame, threshold: float = 0.8)
     )
 
 
-def match_units(rows: DataFrame, unit: str = "unit", threshold: float = 0.6) -> DataFrame:
+def match_units(rows: DataFrame, unit: str = "unit") -> DataFrame:
     """Metres per unit name: exact name first, else the most similar one.
 
-    Adds ``metres``, ``unit_matched`` and ``unit_similarity``; all null where no
-    name is similar enough. Only the distinct names are matched.
+    Adds ``metres``, ``unit_matched`` and ``unit_similarity``. The best name always
+    counts, however low its ratio; ties go to the first name by spelling. Only the
+    distinct names are matched, each with the fixed list of units.
     """
     wanted = rows.select(F.col(unit).alias("value")).where("value is not null").distinct()
     exact = wanted.withColumns(
@@ -329,8 +331,10 @@ def match_units(rows: DataFrame, unit: str = "unit", threshold: float = 0.6) ->
             "metres": unit_lookup(F.col("value"), by="name"),
         }
     )
-    names = rows.sparkSession.createDataFrame([(n,) for _, n, _ in UNITS], "candidate string")
-    near = best_matches(exact.where("metres is null").select("value"), names, [], threshold)
+    names = F.array(*[F.lit(n) for _, n, _ in UNITS])
+    scored = exact.where("metres is null").select("value", F.explode(names).alias("candidate"))
+    scored = scored.withColumn("ratio", sequence_ratio(F.col("value"), F.col("candidate")))
+    near = first_per_key(scored, ["value"], [F.desc("ratio"), F.col("candidate")])
     near = near.select(
         "value",
         F.col("candidate").alias("unit_matched"),

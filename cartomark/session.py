@@ -46,7 +46,8 @@ def shared_folder(spark: SparkSession) -> str:
     )
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="cartomark-")
     spark.conf.set("spark.cartomark.localFolder", folder)

@@ -324,7 +324,7 @@ def c10_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("geo_value", "p_fid", "g_fid", "iou_units", "true_positives", "len_pdf", "len_gdf")
 
 
-GEOREF_SQL = L.with_sql(L.GCPS_SQL.replace("WHERE l_linenumber <= 3", """WHERE l_linenumber <= 4 AND NOT (l_linenumber = 2 AND l_suppkey % 3 = 0)
+GEOREF_SQL = L.with_sql(L.GCPS_SQL.replace("% 3 + 1", "% 4 + 1").replace("WHERE true", """WHERE NOT (l_linenumber = 2 AND l_suppkey % 3 = 0)
   AND NOT (l_linenumber IN (2, 4) AND l_suppkey % 7 = 0) AND NOT (l_linenumber IN (1, 3) AND l_suppkey % 11 = 0) AND NOT (l_linenumber = 1 AND l_suppkey % 13 = 0)""")) + """, m AS (
   SELECT cog_id, system, count(*) AS n, avg(col) AS mc, avg("row") AS mr, avg(lon) AS mx, avg(lat) AS my,
     var_pop(col) AS vcc, var_pop("row") AS vrr, covar_pop(col, "row") AS vcr, covar_pop(col, lon) AS vcx, covar_pop("row", lon) AS vrx,
@@ -362,12 +362,12 @@ def georef_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Control points of four systems, with gaps so that outcomes differ by map."""
     col, row = F.col("l_quantity"), F.col("l_discount") * 100
     kept = (
-        "l_linenumber <= 4 and not (l_linenumber = 2 and l_suppkey % 3 = 0)"
+        "not (l_linenumber = 2 and l_suppkey % 3 = 0)"
         " and not (l_linenumber in (2, 4) and l_suppkey % 7 = 0)"
         " and not (l_linenumber in (1, 3) and l_suppkey % 11 = 0)"
         " and not (l_linenumber = 1 and l_suppkey % 13 = 0)"
     )
-    return L.table(spark, sf_dir, "lineitem").where(kept).select(
+    return L.by_role(L.table(spark, sf_dir, "lineitem"), 4).where(kept).select(
         F.col("l_suppkey").alias("cog_id"),
         F.concat(F.lit("sys_"), F.col("l_linenumber").cast("string")).alias("system"),
         F.lit("1.0").alias("system_version"),

@@ -258,10 +258,10 @@ SYSTEMS = "role string, priority int, system string, system_version string"
 
 
 def systems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Configured systems from the line numbers present: 2 before 4 annotate, 1 and 3 perform."""
-    lines = L.table(spark, sf_dir, "lineitem").select("l_linenumber").distinct()
+    """Configured systems from the roles of line numbers: 2 before 4 annotate, 1 and 3 perform."""
+    lines = L.by_role(L.table(spark, sf_dir, "lineitem"), 4).select("l_linenumber").distinct()
     role = F.when(F.col("l_linenumber").isin(2, 4), "annotated").otherwise("performer")
-    return lines.where("l_linenumber <= 4").select(
+    return lines.select(
         role.alias("role"),
         F.col("l_linenumber").alias("priority"),
         F.concat(F.lit("sys_"), F.col("l_linenumber").cast("string")).alias("system"),
@@ -271,8 +271,8 @@ def systems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def system_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Presence of four systems per map, with gaps by map number."""
-    return L.table(spark, sf_dir, "lineitem").where(
-        "l_linenumber <= 4 and not (l_linenumber = 2 and l_suppkey % 3 = 0)"
+    return L.by_role(L.table(spark, sf_dir, "lineitem"), 4).where(
+        "not (l_linenumber = 2 and l_suppkey % 3 = 0)"
         " and not (l_linenumber in (2, 4) and l_suppkey % 7 = 0)"
     ).select(
         F.col("l_suppkey").alias("cog_id"),
@@ -283,8 +283,8 @@ def system_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "j15_preferred_source",
-    """SELECT l_suppkey AS cog_id, 'sys_' || min(l_linenumber) AS annotated_system FROM lineitem
-    WHERE l_linenumber IN (2, 4) AND NOT (l_linenumber = 2 AND l_suppkey % 3 = 0) AND l_suppkey % 7 <> 0 GROUP BY 1""",
+    """SELECT l_suppkey AS cog_id, 'sys_' || min(l_linenumber) AS annotated_system
+    FROM (SELECT l_suppkey, (l_linenumber - 1) % 4 + 1 AS l_linenumber FROM lineitem) WHERE l_linenumber IN (2, 4) AND NOT (l_linenumber = 2 AND l_suppkey % 3 = 0) AND l_suppkey % 7 <> 0 GROUP BY 1""",
 )
 def j15(spark: SparkSession, sf_dir: str) -> DataFrame:
     annotated = systems(spark, sf_dir).where("role = 'annotated'").drop("role")

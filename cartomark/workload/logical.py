@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartomark.functions import geometry as G
-from cartomark.sources import readers
 
 #: Base cell and coarse levels above it, and pixel size, in map units.
 CELL = 200
@@ -23,14 +22,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def by_role(lines: DataFrame, roles: int) -> DataFrame:
+    """Line items with their number folded to 1..roles, so that every row has a role."""
+    return lines.withColumn("l_linenumber", ((F.col("l_linenumber") - 1) % roles + 1).cast("int"))
+
+
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled boxes with whole-number corners."""
+    """Labelled boxes with whole-number corners; ``line`` is one of three roles."""
     x0 = F.floor(F.col("l_quantity") * 100).cast("bigint")
     y0 = F.floor(F.col("l_extendedprice") / 20).cast("bigint")
     wide = F.round(F.col("l_discount") * 100).cast("bigint")
     high = F.round(F.col("l_tax") * 100).cast("bigint")
-    return readers.spread(table(spark, sf_dir, "lineitem")).select(
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey").alias("fid"),
+
+    def cents(c: str):
+        return F.round(F.col(c) * 100).cast("bigint")
+
+    key = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", cents("l_quantity"), cents("l_extendedprice")]
+    lines = table(spark, sf_dir, "lineitem").withColumn("fid", F.concat_ws("-", *key))
+    return by_role(lines, 3).select(
+        "fid",
         F.col("l_suppkey").alias("id"),
         F.col("l_returnflag").alias("geo_value"),
         F.col("l_linenumber").alias("line"),
@@ -82,7 +92,7 @@ def eval_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as labelled points in two roles."""
-    return readers.spread(table(spark, sf_dir, "events")).select(
+    return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("fid"),
         F.col("event_type").alias("geo_value"),
         F.col("value").alias("x"),
@@ -95,7 +105,7 @@ def gcps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ground control points per map and line item system."""
     col = F.col("l_quantity")
     row = F.col("l_discount") * 100
-    return table(spark, sf_dir, "lineitem").where("l_linenumber <= 3").select(
+    return by_role(table(spark, sf_dir, "lineitem"), 3).select(
         F.col("l_suppkey").alias("cog_id"),
         F.concat(F.lit("sys_"), F.col("l_linenumber").cast("string")).alias("system"),
         F.lit("1.0").alias("system_version"),
@@ -110,8 +120,9 @@ def gcps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 BOXES_SQL = """
 boxes AS (
-  SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey) AS fid, l_suppkey AS id,
-         l_returnflag AS geo_value, l_linenumber AS line, x0, y0,
+  SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(round(l_quantity * 100) AS BIGINT),
+                   CAST(round(l_extendedprice * 100) AS BIGINT)) AS fid, l_suppkey AS id,
+         l_returnflag AS geo_value, CAST((l_linenumber - 1) % 3 + 1 AS INTEGER) AS line, x0, y0,
          x0 + 100 + 20 * CAST(round(l_discount * 100) AS BIGINT) AS x1,
          y0 + 100 + 20 * CAST(round(l_tax * 100) AS BIGINT) AS y1
   FROM (SELECT *, CAST(floor(l_quantity * 100) AS BIGINT) AS x0,
@@ -185,7 +196,7 @@ gcps AS (
          l_discount * 100 AS "row", l_quantity AS col,
          -110.0::DOUBLE + l_quantity * 0.01::DOUBLE + l_discount * 100 * 0.002::DOUBLE + l_tax * 0.01::DOUBLE AS lon,
          35.0::DOUBLE - l_discount * 100 * 0.01::DOUBLE + l_quantity * 0.001::DOUBLE + l_tax * 0.02::DOUBLE AS lat
-  FROM lineitem WHERE l_linenumber <= 3
+  FROM (SELECT * REPLACE (CAST((l_linenumber - 1) % 3 + 1 AS INTEGER) AS l_linenumber) FROM lineitem) WHERE true
 )
 """
 

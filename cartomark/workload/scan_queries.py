@@ -42,7 +42,7 @@ def s02(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RECORDS_SQL = L.with_sql(L.BOXES_SQL) + """, recs AS (
   SELECT *, CASE line WHEN 1 THEN 'polygon' WHEN 2 THEN 'line' ELSE 'point' END AS feature_type,
-    (x1 - x0 - 100) // 20 AS wide, (y1 - y0 - 100) // 20 AS high FROM boxes WHERE line <= 3)
+    (x1 - x0 - 100) // 20 AS wide, (y1 - y0 - 100) // 20 AS high FROM boxes)
 """
 
 
@@ -52,7 +52,7 @@ def record_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     Wide polygons have a second ring, boxes of lowest height no feature, those of
     the next height no abbreviation; every other text is a plain list, not pages.
     """
-    rows = L.boxes(spark, sf_dir).where("line <= 3").withColumns(
+    rows = L.boxes(spark, sf_dir).withColumns(
         {
             "wide": F.expr("(x1 - x0 - 100) div 20"),
             "high": F.expr("(y1 - y0 - 100) div 20"),

@@ -145,13 +145,13 @@ def t09(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "t10_unit_match",
-    """SELECT l_suppkey AS id, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN 1000.0::DOUBLE WHEN 2 THEN 0.3048::DOUBLE END AS metres,
-      CASE l_linenumber % 4 WHEN 0 THEN 'metre' WHEN 1 THEN 'kilometer' WHEN 2 THEN 'International Foot' END AS unit_matched FROM lineitem""",
+    """SELECT l_suppkey AS id, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN 1000.0::DOUBLE WHEN 2 THEN 0.3048::DOUBLE ELSE 1000.0::DOUBLE END AS metres,
+      CASE l_linenumber % 4 WHEN 0 THEN 'metre' WHEN 1 THEN 'kilometer' WHEN 2 THEN 'International Foot' ELSE 'kilometer' END AS unit_matched FROM lineitem""",
 )
 def t10(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.col("l_linenumber") % 4
     unit = (
-        F.when(line == 0, "metre").when(line == 1, "kilometer").when(line == 2, "International Foot").otherwise("zzz")
+        F.when(line == 0, "metre").when(line == 1, "kilometer").when(line == 2, "International Foot").otherwise("kilometre")
     )
     rows = L.table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("id"), "l_linenumber", unit.alias("unit")
