@@ -23,9 +23,9 @@ from cartomark.llm.common import slices
 from cartomark.session import materialize
 
 #: Tokens of a block; a longer text is a block of its own.
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 500_000
 #: Requests a shard answers in one task.
-SHARD_REQUESTS = 4_000_000
+SHARD_REQUESTS = 1_500_000
 #: Local ids of the two marks that are no words.
 BEGIN, END = 0, 1
 BLOCKS = "block long, doc_ids binary, known binary, trained binary, lengths binary, tokens binary, words binary"
@@ -124,7 +124,7 @@ def read_blocks(docs: DataFrame, is_training: Column, *, id_col: str, text_col:
 
         task = TaskContext.get().partitionId() << 32
         number = 0
-        for batch in slices(batches, 2):
+        for batch in slices(batches, 2, 8 << 20):
             lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(batch.column(2), "")))
             flat = pc.list_flatten(lists)
             words_of = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
