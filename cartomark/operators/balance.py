@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from cartomark.session import materialize
 
-#: Rows one group may hold before its order statistics are taken by range partition.
-HOT_ROWS = 5_000_000
-
 
 def salt_by_work(
     left: DataFrame,
@@ -82,102 +79,83 @@ def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str
     )
 
 
-def _ranked_values(rows: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Distinct values with cumulative counts, range-partitioned over the cluster."""
-    counted = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
-    placed = materialize(
-        counted.repartitionByRange(*keys, "_v").withColumn("_part", F.spark_partition_id()),
-        "ranked-values",
-    )
-    parts = placed.groupBy(*keys, "_part").agg(F.sum("_n").alias("_in_part"))
-    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("_before", F.coalesce(F.sum("_in_part").over(before), F.lit(0)))
-    running = (
-        Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranked = placed.join(parts, [*keys, "_part"]).withColumn(
-        "_upto", F.col("_before") + F.sum("_n").over(running)
-    )
-    return ranked, parts
+#: Buckets a doubling of the value is cut into, and a shift that makes exponents positive.
+BUCKETS, SHIFT = 4096, 1100
 
 
-def _range_quantiles(rows: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles of hot groups: each value meets only the ranks of its own part."""
-    ranked, parts = _ranked_values(rows, keys)
-    sizes = parts.groupBy(*keys).agg(F.sum("_in_part").alias("_total"))
-    wanted = sizes.withColumn("_p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    wanted = wanted.withColumn("_h", (F.col("_total") - 1) * F.col("_p"))
-    wanted = wanted.withColumn("_ceil", F.ceil("_h")).withColumn(
-        "_rank", F.explode(F.array_distinct(F.array(F.floor("_h"), F.ceil("_h"))))
-    )
-    located = parts.join(wanted, list(keys)).where(
-        (F.col("_rank") >= F.col("_before"))
-        & (F.col("_rank") < F.col("_before") + F.col("_in_part"))
-    )
-    located = located.select(*keys, "_part", "_p", "_h", "_ceil", "_rank")
-    hits = ranked.join(located, [*keys, "_part"]).where(
-        (F.col("_rank") >= F.col("_upto") - F.col("_n")) & (F.col("_rank") < F.col("_upto"))
-    )
-    per_prob = hits.groupBy(*keys, "_p").agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.max("_h").alias("_h"), F.max("_ceil").alias("_ceil")
-    )
-    # The built-in aggregate's own formula, so that both give the same bits.
-    value = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(
-        (F.col("_ceil") - F.col("_h")) * F.col("_lo") + (F.col("_h") - F.floor("_h")) * F.col("_hi")
-    )
-    return per_prob.groupBy(*keys).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("_p", value.alias("v")))), lambda s: s["v"]
-        ).alias("quantiles")
-    )
+def _value_bucket(v: Column) -> Column:
+    """A whole number that never falls as ``v`` grows: exponent, then leading mantissa.
 
+    A logarithm rounded to the wrong side of a power of two moves both parts and
+    gives the same number.
+    """
+    size = F.abs(v)
+    exponent = F.floor(F.log2(size))
+    mantissa = F.floor((size / F.pow(F.lit(2.0), exponent) - 1) * BUCKETS)
+    bucket = F.when(size == float("inf"), F.lit(2 * SHIFT * BUCKETS)).otherwise((exponent + SHIFT) * BUCKETS + mantissa)
+    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v) * bucket).cast("bigint")
 
-def exact_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    probs: Sequence[float],
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
+    return same
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """Exact linear-interpolation quantiles per group, as an array in ``probs`` order.
 
-    Ordinary groups use the built-in aggregate. Groups above ``hot_rows`` rows
-    are ranked by range partition instead, so none of them is ever held by one
-    task. Nulls and NaN do not count.
+    Distinct values are counted, then cut into buckets by size: a group's buckets
+    are summed up first, and each wanted rank is looked for in its own bucket
+    alone, so a group of any size spreads over many tasks. The interpolation is
+    the built-in aggregate's, to the same bits. Nulls and NaN do not count.
     """
+    keys = list(keys)
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
-    hot = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).drop("_n")
-
-    def builtin(part: DataFrame) -> DataFrame:
-        spread = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs]))
-        return part.groupBy(*keys).agg(spread.alias("quantiles"))
-
-    if hot.isEmpty():
-        return builtin(rows)
-    cold = builtin(rows.join(hot, list(keys), "left_anti"))
-    return cold.unionByName(
-        _range_quantiles(rows.join(hot, list(keys), "left_semi"), keys, probs)
+    counted = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_n")).withColumn("_b", _value_bucket(F.col("_v")))
+    parts = counted.groupBy(*keys, "_b").agg(F.sum("_n").alias("_in"))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(
+        *keys, "_b", "_in", F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_before"), F.sum("_in").over(group).alias("_total")
+    )
+    wanted = parts.withColumn("_p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    wanted = wanted.withColumn("_h", (F.col("_total") - 1) * F.col("_p"))
+    wanted = wanted.withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor("_h"), F.ceil("_h")))))
+    located = wanted.where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_in"))).select(
+        *[F.col(k).alias(f"_w_{k}") for k in keys], F.col("_b").alias("_w_b"), "_before", "_p", "_h", "_rank"
+    )
+    running = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counted.withColumn("_upto", F.sum("_n").over(running))
+    rank = F.col("_rank") - F.col("_before")
+    hits = ranked.join(located, _same(keys, "_w_") & (F.col("_b") == F.col("_w_b"))).where(
+        (rank >= F.col("_upto") - F.col("_n")) & (rank < F.col("_upto"))
+    )
+    per_prob = hits.groupBy(*keys, "_p").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.max("_h").alias("_h"))
+    interpolated = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(
+        (F.ceil("_h") - F.col("_h")) * F.col("_lo") + (F.col("_h") - F.floor("_h")) * F.col("_hi")
+    )
+    return per_prob.groupBy(*keys).agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("_p", interpolated.alias("v")))), lambda s: s["v"]
+        ).alias("quantiles")
     )
 
 
-def equal_frequency_bins(
-    df: DataFrame, keys: Sequence[str], value: str, bins: int, out: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def equal_frequency_bins(df: DataFrame, keys: Sequence[str], value: str, bins: int, out: str) -> DataFrame:
     """Quantile bin of each row within its group, repeated edges dropped.
 
     Bins are right-closed and the lowest edge belongs to bin 0. A group with one
     distinct edge gets null, as do null and NaN values.
     """
-    edges = exact_quantiles(df, keys, value, [i / bins for i in range(bins + 1)], hot_rows)
+    edges = exact_quantiles(df, keys, value, [i / bins for i in range(bins + 1)])
     edges = edges.select(
         *[F.col(k).alias(f"_e_{k}") for k in keys],
         F.array_distinct("quantiles").alias("_edges"),
     )
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_e_{k}"))
     v = F.col(value).cast("double")
     below = F.size(F.filter("_edges", lambda e: e < v))
     binned = F.when(
@@ -185,7 +163,7 @@ def equal_frequency_bins(
         F.greatest(below - 1, F.lit(0)).cast("bigint"),
     )
     return (
-        df.join(edges, same, "left")
+        df.join(edges, _same(keys, "_e_"), "left")
         .withColumn(out, binned)
         .drop("_edges", *[f"_e_{k}" for k in keys])
     )

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartomark.operators.balance import HOT_ROWS, equal_frequency_bins, exact_quantiles
+from cartomark.operators.balance import equal_frequency_bins, exact_quantiles
+from cartomark.session import materialize
 
 PERFORMER = ["system", "system_version"]
 MAP = ["id", *PERFORMER]
@@ -40,24 +41,24 @@ def means_and_medians(
     keys: Sequence[str],
     metrics: Sequence[str],
     extra: Sequence[Column] = (),
-    hot_rows: int = HOT_ROWS,
+    spread: bool = False,
 ) -> DataFrame:
     """``<metric>_mean`` and ``<metric>_median`` per group, plus ``extra`` aggregates.
 
-    Groups too large for one task get their medians by range partition; the
-    common case is a single aggregation.
+    Groups of one map or label take the built-in median in the same aggregation.
+    ``spread`` is for groups as large as the table (a performer, a bin of one):
+    their medians are ranked over many tasks. Both give the same bits.
     """
     keys = list(keys)
     means = [
         (mean_iou() if m == "iou" else F.avg(m)).alias(f"{m}_mean") for m in metrics
     ]
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).drop("_n")
-    medians = [F.median(m).alias(f"{m}_median") for m in metrics]
-    if sizes.isEmpty():
+    if not spread:
+        medians = [F.median(m).alias(f"{m}_median") for m in metrics]
         return rows.groupBy(*keys).agg(*extra, *means, *medians)
     out = rows.groupBy(*keys).agg(*extra, *means)
     for m in metrics:
-        half = exact_quantiles(rows, keys, m, [0.5], hot_rows)
+        half = exact_quantiles(rows, keys, m, [0.5])
         half = half.select(
             *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("quantiles")[0].alias(f"{m}_median")
         )
@@ -95,13 +96,7 @@ def map_rollup(metrics: DataFrame, eval_set: DataFrame | None = None, by: Sequen
 def performer_rollup(maps: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Mean and median over maps of the per-map medians."""
     cols = [f"{m}_median" for m in METRICS]
-    keys = [*by, *PERFORMER]
-    hot = maps.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > HOT_ROWS)
-    if hot.isEmpty():
-        return maps.groupBy(*keys).agg(
-            *[F.avg(c).alias(f"{c}_mean") for c in cols], *[F.median(c).alias(f"{c}_median") for c in cols]
-        )
-    return means_and_medians(maps, keys, cols)
+    return means_and_medians(materialize(maps.select(*by, *PERFORMER, *cols), "maps"), [*by, *PERFORMER], cols, spread=True)
 
 
 def decile_rollup(
@@ -110,13 +105,14 @@ def decile_rollup(
     """Counts, means and medians per performer and equal-frequency bin of a metric."""
     bin_col = f"{metric}_q"
     keys = [*by, *PERFORMER]
-    binned = equal_frequency_bins(rollup, keys, metric, q, bin_col)
+    # Written once: the edges and each median read it again.
+    binned = materialize(equal_frequency_bins(materialize(rollup, "rollup"), keys, metric, q, bin_col), "binned")
     if not keep_null_bins:
         binned = binned.where(F.col(bin_col).isNotNull())
     extra = [F.count_distinct("id").alias("id_nunique"), F.sum("iou_count").alias("iou_count_sum")]
     if "geo_value" in rollup.columns:
         extra.append(F.count_distinct("geo_value").alias("geo_value_nunique"))
-    return means_and_medians(binned, [*keys, bin_col], ["iou_median", "f1_median"], extra)
+    return means_and_medians(binned, [*keys, bin_col], ["iou_median", "f1_median"], extra, spread=True)
 
 
 def with_eval_set(rollup: DataFrame, eval_set: DataFrame | None) -> DataFrame:
@@ -129,8 +125,8 @@ def with_eval_set(rollup: DataFrame, eval_set: DataFrame | None) -> DataFrame:
 
 def report(metrics: DataFrame, eval_set: DataFrame, by: Sequence[str] = (), q: int = 10) -> dict[str, DataFrame]:
     """All roll-ups of written match metrics; ``by`` may hold ``feature_type``."""
-    labels = label_rollup(metrics, eval_set, by)
-    maps = map_rollup(metrics, eval_set, by)
+    labels = materialize(label_rollup(metrics, eval_set, by), "labels")
+    maps = materialize(map_rollup(metrics, eval_set, by), "maps")
     return {
         "label": labels,
         "label_iou_deciles": decile_rollup(labels, "iou_median", q, by),
