@@ -107,6 +107,32 @@ def j08(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("id", "geo_value", "p_fid", "g_fid")
 
 
+WIDE_SQL = L.with_sql(L.BOXES_SQL) + f""",
+wide AS (SELECT * REPLACE (x1 + CASE WHEN (x0 // 100 + y0) % 97 = 0 THEN 40000 ELSE 0 END AS x1,
+                           y1 + CASE WHEN (x0 // 100 + y0) % 97 = 0 THEN 30000 ELSE 0 END AS y1) FROM boxes),
+met AS (SELECT p.fid AS p_fid, p.x0 <= g.x1 AND g.x0 <= p.x1 AND p.y0 <= g.y1 AND g.y0 <= p.y1 AS hit
+  FROM wide p JOIN wide g ON p.id = g.id AND p.geo_value = g.geo_value AND p.line <> 2 AND g.line = 2
+   AND p.x0 // {L.CELL} <= g.x1 // {L.CELL} AND g.x0 // {L.CELL} <= p.x1 // {L.CELL}
+   AND p.y0 // {L.CELL} <= g.y1 // {L.CELL} AND g.y0 // {L.CELL} <= p.y1 // {L.CELL})
+SELECT p_fid, count(*) AS candidates, count(*) FILTER (hit) AS hits FROM met GROUP BY 1
+"""
+
+
+@query("j08_wide_boxes", WIDE_SQL)
+def j08_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates where one box in a hundred spans hundreds of cells."""
+    grown = F.expr("(x0 div 100 + y0) % 97 = 0")
+    wide = L.boxes(spark, sf_dir).withColumns(
+        {"x1": F.col("x1") + F.when(grown, 40000).otherwise(0), "y1": F.col("y1") + F.when(grown, 30000).otherwise(0)}
+    )
+    sides = L.with_bbox(wide).select("id", "geo_value", "fid", "bbox", "line")
+    pairs = spatial.spatial_pairs(
+        sides.where("line <> 2").drop("line"), sides.where("line = 2").drop("line"), ["id", "geo_value"], L.CELL
+    )
+    hit = G.boxes_intersect(F.col("p_bbox"), F.col("g_bbox"))
+    return pairs.groupBy("p_fid").agg(F.count("*").alias("candidates"), F.count_if(hit).alias("hits"))
+
+
 @query(
     "j09_predicate_and_iou",
     PAIRS + """SELECT p_fid, g_fid, hit AS success_overlap, iou_units,

@@ -177,3 +177,11 @@ def test_shared_folder_is_the_configured_one(spark, tmp_path, monkeypatch):
 
     with pytest.raises(RuntimeError):
         session.shared_folder(Bare())
+
+
+def test_rmse_is_null_where_a_distance_is_unknown(spark):
+    point = "struct<x:double,y:double>"
+    rows = [("a", 1, 3.0, (0.0, 0.0), (0.0, 0.0)), ("a", 2, None, (0.0, 0.0), (0.0, 0.0)), ("b", 1, 3.0, (0.0, 0.0), (0.0, 0.0))]
+    errors = spark.createDataFrame(rows, f"m string, k int, km double, annotated_pnt {point}, performer_pnt {point}")
+    got = {r.m: (r.rmse, r.sample_pnts) for r in georef.rmse(errors, ["m"]).collect()}
+    assert got == {"a": (None, 2), "b": (3.0, 1)}

@@ -119,3 +119,12 @@ def test_pixel_grid_counts(spark):
     got = R.pixel_grid(rasters, band_rows=2).collect()
     assert len({(r.row, r.col) for r in got}) == 35
     assert {(r.x, r.y) for r in got if r.row == 4 and r.col == 6} == {(6.5, 5.5)}
+
+
+def test_shapes_far_outside_the_image_are_cut_first(spark):
+    far = 1e12
+    ring = [[2.0, -far], [6.0, -far], [6.0, far], [2.0, far], [2.0, -far]]
+    px = shapes(spark, "polygon", [("tall", [ring])]).withColumn("height", F.lit(5))
+    assert {r for _, r, _ in pixels(R.outline_runs(px, ["height"], height="height"))} == set(range(5))
+    line = shapes(spark, "line", [("l", [[3.0, -far], [3.0, far]])]).withColumns({"height": F.lit(4), "r": F.lit(1.0)})
+    assert {r for _, r, _ in pixels(R.buffer_runs(line, "r", ["height"], height="height"))} == set(range(4))

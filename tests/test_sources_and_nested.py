@@ -123,6 +123,16 @@ def test_csv_in_two_encodings(spark, tmp_path):
         assert [tuple(r) for r in rows] == [("22", "Québec, ON")]
 
 
+def test_one_latin_file_leaves_the_others_alone(spark, tmp_path):
+    folder = tmp_path / "two encodings"
+    folder.mkdir()
+    for i, encoding in enumerate(("utf-8", "latin-1", "utf-8")):
+        (folder / f"part {i}.csv").write_bytes(f"id,state\n{i},Québec\n".encode(encoding))
+    for multi_line in (False, True):
+        rows = readers.read_csv(spark, str(folder), "id string, state string", multi_line=multi_line).collect()
+        assert sorted(tuple(r) for r in rows) == [("0", "Québec"), ("1", "Québec"), ("2", "Québec")]
+
+
 def test_listing_reads_no_content(spark, tmp_path):
     for name in ("12/a.tif", "12/b.TIF", "13/c.txt", "top.tif"):
         path = tmp_path / "maps" / name

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -145,3 +146,40 @@ def test_buffered_geometries(spark, kind):
     rows = {r.p_fid: r for r in got.collect()}
     assert rows["same"].iou == 100.0 and rows["same"].f1 == 1.0
     assert 0 < rows["near"].iou < 100 and 0 < rows["near"].f1 < 1
+
+
+def _points(spark, rows):
+    df = spark.createDataFrame(rows, "id int, geo_value string, fid string, c array<double>")
+    return df.withColumn("geom", G.geometry_from_pairs("point", F.col("c"))).drop("c")
+
+
+def test_repeated_and_absent_scales(spark):
+    t = F.struct(*[F.lit(v).alias(k) for k, v in zip("abcdef", (0.5, 0.0, 0.0, 0.0, -0.5, 0.0))])
+    sizes = [(1, 200, 200, 40000), (1, 200, 200, 40000), (2, 200, 200, 40000)]
+    rasters = spark.createDataFrame(sizes, "id int, width int, height int, total_pix long").withColumn("transform", t)
+    scales = spark.createDataFrame([(1, 24000), (1, 24000)], "id int, scale long")
+    perf = _points(spark, [(1, "a", "p1", [10.0, -10.0]), (2, "a", "p2", [10.0, -10.0])]).withColumn("system", F.lit("s"))
+    truth = _points(spark, [(1, "a", "t1", [10.0, -10.0]), (2, "a", "t2", [10.0, -10.0])])
+    rows = evaluate.evaluate_geometries(perf, truth, rasters, 10.0, scales=scales, dynamic_buffer=0.005).collect()
+    got = {r.p_fid: r for r in rows}
+    assert len(rows) == 2 and set(got) == {"p1", "p2"}
+    assert all(r.inf_count == r.grnd_count == 1 and r.iou == 100.0 for r in rows)
+    assert got["p1"].len_pdf > 1 and got["p2"].len_pdf == 1
+
+
+def test_wide_boxes_do_not_change_candidates(spark):
+    rng = random.Random(11)
+    perf = random_boxes(rng, 60, "p", big=0.1) + [(0, "a", "far", -9000.0, -9000.0, 9000.0, -8000.0)]
+    truth = random_boxes(rng, 60, "t", big=0.1) + [(0, "a", "wide", -9000.0, -9000.0, 9000.0, 9000.0), (0, "a", "far", 5000.0, -9000.0, 9000.0, 9000.0)]
+    size = 25.0
+
+    def cells(r):
+        return [math.floor(v / size) for v in r[3:7]]
+
+    def meet(a, b):
+        (ax0, ay0, ax1, ay1), (bx0, by0, bx1, by1) = cells(a), cells(b)
+        return a[:2] == b[:2] and ax0 <= bx1 and bx0 <= ax1 and ay0 <= by1 and by0 <= ay1
+
+    want = {(a[2], b[2]) for a in perf for b in truth if meet(a, b)}
+    got = [(r.p_fid, r.g_fid) for r in spatial.spatial_pairs(boxes(spark, perf), boxes(spark, truth), ["id", "geo_value"], size).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
