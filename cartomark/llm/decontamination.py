@@ -74,7 +74,7 @@ def template_windows(source: DataFrame, *, sizes: tuple[int, ...], min_words: in
         import xxhash
 
         constants = {k: xxhash.xxh64_intdigest(v) for k, v in PLACEHOLDERS.items()}
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, 4 << 20):
             text = pc.fill_null(batch.column(1), "")
             lists = pc.utf8_split_whitespace(text)
             coded = pc.list_flatten(lists).dictionary_encode()

@@ -30,6 +30,8 @@ FOLDED = str.maketrans(
 #: Phrases that hold a lexicon word but are no insult.
 EXCEPTIONS = ("trash can", "trash bag", "trash bin", "clown fish", "sore loser", "pond scum", "soap scum")
 MIN_PREFIX, MAX_PREFIX = 4, 12
+#: Counts a task holds before it hands on its sums so far.
+PARTIAL_ENTRIES = 300_000
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -113,18 +115,24 @@ def learn(sample: DataFrame, *, lexicon_size: int = 2000, min_toxic: int = 5, ex
     """
 
     def beginnings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
-        sizes = [0, 0]
+        def partial(counts: tuple[Counter, Counter], sizes: list[int]) -> pa.RecordBatch:
+            keys = list(counts[0].keys() | counts[1].keys())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([*keys, None], pa.string()), *(pa.array([*(counts[c][k] for k in keys), sizes[c]], pa.int64()) for c in (1, 0))],
+                ["entry", "toxic", "other"],
+            )
+
+        counts, sizes = (Counter(), Counter()), [0, 0]
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = set(_WORD.findall(fold(text)))
-                counts[toxic > 0].update({w[:k] for w in words for k in range(MIN_PREFIX, min(len(w), MAX_PREFIX) + 1)})
-                sizes[toxic > 0] += 1
-        keys = list(counts[0].keys() | counts[1].keys())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([*keys, None]), *(pa.array([*(counts[c][k] for k in keys), sizes[c]], pa.int64()) for c in (1, 0))],
-            ["entry", "toxic", "other"],
-        )
+            for text, toxic in zip(batch.column(0), batch.column(1), strict=True):
+                words = set(_WORD.findall(fold(text.as_py())))
+                label = toxic.as_py() > 0
+                counts[label].update({w[:k] for w in words for k in range(MIN_PREFIX, min(len(w), MAX_PREFIX) + 1)})
+                sizes[label] += 1
+                if len(counts[0]) + len(counts[1]) > PARTIAL_ENTRIES:
+                    yield partial(counts, sizes)
+                    counts, sizes = (Counter(), Counter()), [0, 0]
+        yield partial(counts, sizes)
 
     counted = sample.mapInArrow(beginnings, "entry string, toxic long, other long").groupBy("entry").agg(
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other")
