@@ -31,14 +31,22 @@ def axis_cell(value: Column, size: float | Column) -> Column:
     return F.floor(value / size).cast("bigint")
 
 
-def cell_id(col: Column, row: Column) -> Column:
-    """Id of the cell at a grid column and row (either may be negative)."""
-    return morton(col + F.lit(CELL_BIAS), row + F.lit(CELL_BIAS))
+def cell_id(col: Column, row: Column, level: Column | None = None) -> Column:
+    """Id of the cell at a grid column and row (either may be negative).
 
+    With a ``level``, column and row count cells of that many steps coarser, and
+    the id is that of the parent of the base cells inside.
+    """
+    bias = F.lit(CELL_BIAS)
+    if level is not None:
+        bias = F.call_function("shiftright", F.lit(CELL_BIAS).cast("bigint"), level.cast("int"))
+    return morton(col + bias, row + bias)
 
-def parent_cell(cell: Column, levels: int) -> Column:
+
+def parent_cell(cell: Column, levels: int | Column) -> Column:
     """Id of the enclosing cell ``levels`` steps coarser."""
-    return F.shiftrightunsigned(cell, 2 * levels)
+    steps = F.lit(levels) if isinstance(levels, int) else levels
+    return F.call_function("shiftrightunsigned", cell, (steps * 2).cast("int"))
 
 
 def bbox_cover(xmin: Column, ymin: Column, xmax: Column, ymax: Column, size: float | Column) -> Column:

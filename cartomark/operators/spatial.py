@@ -43,8 +43,13 @@ def cell_prefilter(
     """Features that share cells with the other side at every listed level.
 
     Each level is an independent semi join on an exploded cell; the truth side is
-    then reduced against what is left of the performer side.
+    then reduced against what is left of the performer side. Covers at different
+    levels (column ``cell_level``) meet at the coarser one; there the fine cells
+    alone decide, as sharing one implies sharing its parent.
     """
+    if "cell_level" in perf.columns or "cell_level" in truth.columns:
+        kept = _keep_by_level(perf, truth, keys)
+        return kept, _keep_by_level(truth, kept, keys)
 
     def keep(side: DataFrame, other: DataFrame) -> DataFrame:
         for col in cell_cols:
@@ -62,6 +67,35 @@ def cell_prefilter(
     return kept_perf, keep(truth, kept_perf)
 
 
+def _keep_by_level(side: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``side`` whose cover meets one of ``other``, each at its own level.
+
+    A cover also visits the coarser levels in use on the other side, a handful of
+    integers per key. Own cells meet own and visiting ones; two visitors prove nothing.
+    """
+
+    def levelled(df: DataFrame) -> DataFrame:
+        return df if "cell_level" in df.columns else df.withColumn("cell_level", F.lit(0))
+
+    def cells(a: DataFrame, b: DataFrame) -> DataFrame:
+        used = b.groupBy(*keys).agg(F.collect_set("cell_level").alias("_levels"))
+        own = F.col("cell_level")
+        above = F.filter("_levels", lambda lv: lv > own)
+        at = F.explode(F.concat(F.array(own), above)).alias("_lv")
+        placed = a.join(used, list(keys)).select(*keys, "fid", own.alias("_own"), "fine_cells", at)
+        up = F.col("_lv") - F.col("_own")
+        ids = F.array_distinct(F.transform("fine_cells", lambda c: parent_cell(c, up)))
+        return placed.select(*keys, "fid", "_lv", (up == 0).alias("_home"), F.explode(ids).alias("_cell"))
+
+    a, b = levelled(side), levelled(other)
+    mine, theirs = cells(a, b), cells(b, a).drop("fid").distinct()
+    on = [*keys, "_lv", "_cell"]
+    met = mine.where("_home").join(theirs, on, "left_semi").unionByName(
+        mine.where("not _home").join(theirs.where("_home"), on, "left_semi")
+    )
+    return side.join(met.select(*keys, "fid").distinct(), [*keys, "fid"], "left_semi")
+
+
 def box_prefilter(
     perf: DataFrame, truth: DataFrame, keys: Sequence[str], size: float
 ) -> tuple[DataFrame, DataFrame]:
@@ -222,8 +256,10 @@ def cell_index_table(
 
     ``coarse_cells``/``fine_cells`` are exploded as in the index file of the
     evaluation set. A crowded cell is cut into as many pages as its count needs,
-    so that no list outgrows a row.
+    so that no list outgrows a row. Covers at several levels are kept apart by
+    ``cell_level``.
     """
+    keys = [*keys, *[c for c in ("cell_level",) if c in features.columns and c not in keys]]
     rows = features.select(*keys, F.explode("coarse_cells").alias("coarse_cell"), "fine_cells", ref)
     rows = rows.select(*keys, "coarse_cell", F.explode("fine_cells").alias("fine_cell"), ref)
     cell = [*keys, "coarse_cell", "fine_cell"]

@@ -40,7 +40,8 @@ def ring_cells(features: DataFrame, size: float, levels: int, geom: str = "geom"
     its ends there. Inside cells come from the crossings of the row's middle by
     the even-odd rule. Cells come back as arrays per feature. A geometry wider
     than ``MAX_SPAN`` cells is covered at the coarser level ``cell_level``, so
-    that no array grows with the size of the map.
+    that no array grows with the size of the map; its cell ids are parents of
+    base cells, and joins compare them with others' parents at that level.
     """
     b = G.geometry_box(F.col(geom))
     extent = F.greatest(b["xmax"] - b["xmin"], b["ymax"] - b["ymin"])
@@ -57,6 +58,7 @@ def ring_cells(features: DataFrame, size: float, levels: int, geom: str = "geom"
     ).otherwise(G.geometry_segments(F.col(geom)))
     scaled = features.select(
         "fid",
+        "cell_level",
         (F.col(geom)["kind"] == "polygon").alias("_fill"),
         (F.lit(float(size)) * F.pow(F.lit(2.0), F.col("cell_level"))).alias("_size"),
         F.inline(segments),
@@ -82,8 +84,8 @@ def ring_cells(features: DataFrame, size: float, levels: int, geom: str = "geom"
     mid = y + 0.5
     crosses = F.col("_fill") & ~flat & (mid >= low) & (mid < high)
     per_row = (
-        rows.select("fid", "row", run.alias("_run"), F.when(crosses, x_at(mid)).alias("_x"))
-        .groupBy("fid", "row")
+        rows.select("fid", "cell_level", "row", run.alias("_run"), F.when(crosses, x_at(mid)).alias("_x"))
+        .groupBy("fid", "cell_level", "row")
         .agg(F.collect_list("_run").alias("_runs"), F.array_sort(F.collect_list("_x")).alias("_xs"))
     )
     inside = F.when(
@@ -97,9 +99,9 @@ def ring_cells(features: DataFrame, size: float, levels: int, geom: str = "geom"
         ),
     ).otherwise(F.array().cast("array<struct<c0:bigint,c1:bigint>>"))
     cells = (
-        per_row.select("fid", "row", F.inline(merge_runs(F.concat("_runs", inside))))
+        per_row.select("fid", "cell_level", "row", F.inline(merge_runs(F.concat("_runs", inside))))
         .withColumn("_col", F.explode(F.sequence("c0", "c1")))
-        .select("fid", cell_id(F.col("_col"), F.col("row")).alias("_cell"))
+        .select("fid", cell_id(F.col("_col"), F.col("row"), F.col("cell_level")).alias("_cell"))
     )
     covered = cells.groupBy("fid").agg(F.array_sort(F.collect_set("_cell")).alias("fine_cells"))
     covered = covered.withColumn(
