@@ -187,10 +187,10 @@ def g09(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "g10_reproject_round_trip",
     f"""SELECT l_orderkey, l_partkey, round(lat, 7) AS lat, round(lon, 7) AS lon FROM
-      (SELECT l_orderkey, l_partkey, {LATLON['lat']} AS lat, {LATLON['lon']} AS lon FROM lineitem) WHERE lat BETWEEN -79 AND 83 AND lon < 170""",
+      (SELECT l_orderkey, l_partkey, {LATLON['lat']} AS lat, {LATLON['lon']} AS lon FROM lineitem) WHERE lat BETWEEN -80 AND 84""",
 )
 def g10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = latlon(spark, sf_dir).where("lat between -79 and 83 and lon < 170")
+    rows = latlon(spark, sf_dir).where("lat between -80 and 84")
     code = P.epsg_code(P.utm_epsg(F.col("lat"), F.col("lon")))
     there = rows.withColumn("code", code).withColumn("u", P.wgs84_to_utm(F.col("lat"), F.col("lon"), F.col("code")))
     back = there.withColumn("b", P.utm_to_wgs84(F.col("u.x"), F.col("u.y"), F.col("code")))

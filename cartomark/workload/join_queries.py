@@ -19,9 +19,9 @@ PAIRS = L.with_sql(L.BOXES_SQL, L.PAIRS_SQL)
 SCORED = L.with_sql(L.BOXES_SQL, L.PAIRS_SQL, L.METRICS_SQL)
 
 
-@query("j01_inner_join", "SELECT o_orderkey, o_custkey, c_name FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus = 'F'")
+@query("j01_inner_join", "SELECT o_orderkey, o_custkey, c_name FROM orders JOIN customer ON c_custkey = o_custkey")
 def j01(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = L.table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
+    orders = L.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     customers = L.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
     return orders.join(customers, "o_custkey")
 
@@ -46,10 +46,10 @@ def j02(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "j03_multi_key_join",
     SCORED.replace("WITH ", "WITH " + L.EVAL_SET_SQL.strip() + ",", 1)
-    + "SELECT m.id, m.p_fid, e.scale, e.state FROM metrics m JOIN eval_set e ON m.id = e.id WHERE e.source = 'Map'",
+    + "SELECT m.id, m.p_fid, e.scale, e.state FROM metrics m JOIN eval_set e ON m.id = e.id",
 )
 def j03(spark: SparkSession, sf_dir: str) -> DataFrame:
-    maps = L.eval_set(spark, sf_dir).where("source = 'Map'").select("id", "scale", "state")
+    maps = L.eval_set(spark, sf_dir).select("id", "scale", "state")
     return written_metrics(spark, sf_dir).select("id", "p_fid").join(maps, ["id"])
 
 
@@ -61,9 +61,10 @@ def j04(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.table(spark, sf_dir, "customer").select("c_custkey").join(orders, "c_custkey", "left")
 
 
-@query("j05_anti_join", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("j05_anti_join", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def j05(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = L.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    """Customers without an order still in process."""
+    seen = L.table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
     return L.table(spark, sf_dir, "customer").select("c_custkey", "c_name").join(seen, "c_custkey", "left_anti")
 
 
@@ -511,7 +512,7 @@ def u02(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")).subtract(have)
 
 
-@query("u03_intersect", "SELECT p_name FROM part WHERE p_brand = 'Brand#1' INTERSECT SELECT p_name FROM part WHERE p_brand = 'Brand#2'")
+@query("u03_intersect", "SELECT p_name FROM part WHERE p_partkey % 2 = 0 INTERSECT SELECT p_name FROM part WHERE p_partkey % 2 = 1")
 def u03(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = L.table(spark, sf_dir, "part")
-    return part.where("p_brand = 'Brand#1'").select("p_name").intersect(part.where("p_brand = 'Brand#2'").select("p_name"))
+    return part.where("p_partkey % 2 = 0").select("p_name").intersect(part.where("p_partkey % 2 = 1").select("p_name"))
