@@ -54,12 +54,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder below :func:`shared_folder` that holds this application's tables."""
+    return f"{shared_folder(spark)}/cartomark-{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+    """Write ``df`` once to the run's folder and read it back.
 
     Used where several branches read one costly result: the written table keeps
     column pruning and size statistics, and survives lost executors.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_intermediates(spark: SparkSession) -> bool:
+    """Delete all tables this application has materialised; call once results are stored."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.delete(folder, True)

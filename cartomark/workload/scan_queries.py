@@ -11,14 +11,14 @@ from cartomark.functions import nested as N
 from cartomark.operators import balance
 from cartomark.operators.spatial import with_cells
 from cartomark.plans import orchestrate
-from cartomark.session import shared_folder
+from cartomark.session import run_folder
 from cartomark.sources import manifest, readers, writers
 from cartomark.workload import logical as L
 from cartomark.workload.registry import query
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query(

@@ -175,8 +175,10 @@ def test_shared_folder_is_the_configured_one(spark, tmp_path, monkeypatch):
         class sparkContext:
             master = "yarn"
 
-    with pytest.raises(RuntimeError):
-        session.shared_folder(Bare())
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        Bare.sparkContext.master = master
+        with pytest.raises(RuntimeError):
+            session.shared_folder(Bare())
 
 
 def test_rmse_is_null_where_a_distance_is_unknown(spark):

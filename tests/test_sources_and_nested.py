@@ -232,3 +232,15 @@ def test_reprojection_of_vertices(spark):
     row = df.select(there.alias("u"), prepare.reproject(there, F.lit(32617), False).alias("b")).first()
     assert abs(row.u.rings[0][0].x - 630084.30) < 0.01
     assert abs(row.b.rings[0][1].x + 79.0) < 1e-9 and abs(row.b.rings[0][1].y - 43.0) < 1e-9
+
+
+def test_intermediates_lie_in_one_folder_and_go(spark, tmp_path, monkeypatch):
+    import os
+
+    from cartomark import session
+
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path / "shared"))
+    for _ in range(2):
+        assert session.materialize(spark.range(3), "numbers").count() == 3
+    assert os.listdir(tmp_path / "shared") == [f"cartomark-{spark.sparkContext.applicationId}"]
+    assert session.remove_intermediates(spark) and os.listdir(tmp_path / "shared") == []
