@@ -23,7 +23,7 @@ from cartomark.llm.common import slices
 from cartomark.session import materialize
 
 #: Tokens of a block; a longer text is a block of its own.
-BLOCK_TOKENS = 500_000
+BLOCK_TOKENS = 250_000
 #: Requests a shard answers in one task.
 SHARD_REQUESTS = 1_500_000
 #: Local ids of the two marks that are no words.
