@@ -3,18 +3,27 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
-from cartomark.llm.common import FOLD
+from cartomark.llm.common import FOLD, slices
 from cartomark.session import materialize
 
 #: Fingerprints of a tile: two tiles and their comparison matrix take about 20 MB.
 TILE = 2048
+#: Entries of a tile of wide fingerprints: 460 KB, compared ``WIDE_ROWS`` rows at a time.
+WIDE_TILE = 16384
+WIDE_ROWS = 64
+#: Bits of a wide fingerprint that may differ: texts of similarity 0.8 differ in 19 of 128, give or take 4.
+WIDE_RADIUS = 36
+#: Links of a text within a pair of tiles that the first round tests, and the factor of each next round.
+FIRST_LINKS, MORE_LINKS = 8, 16
 #: A cell is the four population counts of a fingerprint's 16-bit quarters.
 QUARTER_COUNTS = 17
 
@@ -181,3 +190,191 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return marked.join(named, "fingerprint", "left").select(
         "doc_id", "fingerprint", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
     )
+
+
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").translate(FOLD).split()
+
+
+def with_node(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
+    """All rows with ``_node``, a hash of the text's words: copies have the same."""
+    schema = StructType([*docs.schema.fields]).add("_node", LongType())
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            at = batch.schema.get_field_index(text_col)
+            for part in slices([batch], at):
+                nodes = [xxhash.xxh64_intdigest(b" ".join(words_of(t.as_py()))) for t in part.column(at)]
+                added = pa.array(np.array(nodes, dtype=np.uint64).view(np.int64))
+                yield pa.RecordBatch.from_arrays([*part.columns, added], names=[*part.schema.names, "_node"])
+
+    return docs.mapInArrow(rows, schema)
+
+
+def shingle_set(words: list[bytes], shingle_words: int) -> np.ndarray:
+    """Distinct shingles as rows of two 64-bit hashes, sorted by the first; a shorter text is one shingle."""
+    import xxhash
+
+    if not words:
+        return np.empty((0, 2), dtype=np.uint64)
+    joined = b" ".join(words)
+    ends = list(itertools.accumulate(len(w) + 1 for w in words))
+    starts = [0, *ends[: max(0, len(words) - shingle_words)]]
+    stops = ends[shingle_words - 1 :] or ends[-1:]
+    digest = xxhash.xxh128_digest
+    hashes = np.frombuffer(b"".join([digest(joined[a : b - 1]) for a, b in zip(starts, stops, strict=True)]), dtype=np.uint64).reshape(-1, 2)
+    return hashes[np.unique(hashes[:, 0], return_index=True)[1]]
+
+
+def wide_fingerprints(docs: DataFrame, *, shingle_words: int, narrow_words: int, seed: int) -> DataFrame:
+    """``doc_id, node, fingerprint, n, high, low`` of every row.
+
+    ``high, low`` are a SimHash of 128 bits over the ``n`` distinct shingles;
+    ``fingerprint`` is that of :func:`fingerprints`.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            narrow, sizes, wide = [], [], []
+            for t in batch.column(1):
+                text = t.as_py()
+                hashes = shingle_set(words_of(text), shingle_words)
+                votes = np.unpackbits(np.ascontiguousarray(hashes).view(np.uint8).reshape(-1, 16), axis=1).sum(axis=0, dtype=np.int64)
+                narrow.append(fingerprint(text, narrow_words, seed))
+                sizes.append(len(hashes))
+                wide.append(np.packbits(votes * 2 > len(hashes)).view(np.int64))
+            both = np.array(wide, dtype=np.int64).reshape(-1, 2)
+            arrays = [batch.column(0), batch.column(2), pa.array(narrow, pa.int64()), pa.array(sizes, pa.int32()), pa.array(both[:, 0]), pa.array(both[:, 1])]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "node", "fingerprint", "n", "high", "low"])
+
+    return docs.select("doc_id", "text", "_node").mapInArrow(rows, "doc_id long, node long, fingerprint long, n int, high long, low long")
+
+
+def candidates(tiles: DataFrame, pairs: DataFrame, *, similarity: float, radius: int, skip: int, limit: int) -> DataFrame:
+    """``a, b, ta, tb``: pairs of nodes to test within pairs of tiles ``ta, tb``.
+
+    Nodes are a pair if their wide fingerprints differ in ``radius`` bits or fewer
+    and their set sizes allow ``similarity``. Of each node's pairs within a pair of
+    tiles, nearest first, those ranked ``skip`` to ``limit`` come out, without those that
+    are one component already. A row without ``a`` says that later ranks hold
+    pairs between components.
+    """
+    half = radius * 5 // 8
+    one = tiles.select(*[F.col(c).alias(f"{c}_a") for c in tiles.columns]).withColumnRenamed("tile_a", "ta")
+    two = tiles.select(*[F.col(c).alias(f"{c}_b") for c in tiles.columns]).withColumnRenamed("tile_b", "tb")
+    fields = ("node", "n", "high", "low", "comp")
+    met = pairs.join(one, "ta").join(two, "tb").select("ta", "tb", *[f"{c}_{s}" for s in "ab" for c in fields])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ta, tb = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                (na, sa, ha, la, ca), (nb, sb, hb, lb, cb) = ([np.asarray(batch.column(k)[i].values) for k in ks] for ks in (range(2, 7), range(7, 12)))
+                more = False
+                for r in range(0, len(na), WIDE_ROWS):
+                    high = np.bitwise_count(ha[r : r + WIDE_ROWS].view(np.uint64)[:, None] ^ hb.view(np.uint64)[None, :])
+                    low, columns = np.nonzero(high <= half)
+                    far = high[low, columns].astype(np.int64)
+                    lines = low + r
+                    far += np.bitwise_count(la.view(np.uint64)[lines] ^ lb.view(np.uint64)[columns])
+                    x, y = sa[lines], sb[columns]
+                    good = (far <= radius) & (np.minimum(x, y) >= similarity * np.maximum(x, y) - 1e-9)
+                    if ta == tb:
+                        good &= columns > lines
+                    if not good.any():
+                        continue
+                    lines, columns, far = lines[good], columns[good], far[good]
+                    # Of equally near nodes each takes others first, so that none is in all pairs.
+                    order = np.lexsort(((columns - lines) % len(nb), far, lines))
+                    lines, columns = lines[order], columns[order]
+                    begin = np.flatnonzero(np.diff(lines, prepend=-1))
+                    rank = np.arange(len(lines)) - np.repeat(begin, np.diff([*begin, len(lines)]))
+                    apart = ca[lines] != cb[columns]
+                    more |= bool((apart & (rank >= limit)).any())
+                    take = apart & (rank >= skip) & (rank < limit)
+                    a, b = pa.array(na[lines[take]]), pa.array(nb[columns[take]])
+                    yield pa.RecordBatch.from_arrays([a, b, pa.array([ta] * len(a), pa.string()), pa.array([tb] * len(a), pa.string())], ["a", "b", "ta", "tb"])
+                if more:
+                    none = pa.array([None], pa.int64())
+                    yield pa.RecordBatch.from_arrays([none, none, pa.array([ta]), pa.array([tb])], ["a", "b", "ta", "tb"])
+
+    return met.repartition("ta", "tb").mapInArrow(compare, "a long, b long, ta string, tb string")
+
+
+def similar(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, *, similarity: float, shingle_words: int) -> DataFrame:
+    """The ``pairs`` of nodes ``a, b`` whose shingle sets have Jaccard ``similarity`` or more."""
+    used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "leader"), "node")
+    texts = docs.join(used, (F.col("doc_id") == F.col("leader")) & (F.col("_node") == F.col("node")), "left_semi")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices([batch], 1, 4 << 20):
+                found = [shingle_set(words_of(t.as_py()), shingle_words)[:, 0].view(np.int64) for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "set"])
+
+    hashed = texts.select("_node", "text").mapInArrow(sets, "node long, set array<long>").groupBy("node").agg(F.first("set").alias("set"))
+    hashed = materialize(hashed, "sets")
+    both = pairs.join(hashed.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(hashed.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for i in range(batch.num_rows):
+                x, y = (np.asarray(batch.column(k)[i].values) for k in (2, 3))
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(shared >= similarity * (len(x) + len(y) - shared) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return both.select("a", "b", "x", "y").mapInArrow(test, "a long, b long")
+
+
+def similar_nodes(
+    docs: DataFrame, *, similarity: float = 0.8, shingle_words: int = 5, wide_radius: int = WIDE_RADIUS, narrow_words: int = 3, radius: int = 3, seed: int = 42, tile: int = WIDE_TILE, first: int = FIRST_LINKS
+) -> DataFrame:
+    """``node, leader, component`` of every text with an id; ``docs`` comes from :func:`with_node`.
+
+    Texts are linked if their sets of ``shingle_words`` shingles have Jaccard
+    ``similarity`` or more, tested on the sets themselves for every pair whose
+    wide fingerprints differ in ``wide_radius`` bits or fewer, or if :func:`near_duplicates`
+    links them. Set sizes that rule the similarity out keep tiles apart. In a family
+    of near copies most pairs are one component after a node's nearest were
+    tested; rounds go on until no pair between components is untested.
+    """
+    marked = wide_fingerprints(docs.where("doc_id is not null"), shingle_words=shingle_words, narrow_words=narrow_words, seed=seed)
+    # All but the id follows from the text.
+    columns = [F.min(c).alias(c) for c in ("fingerprint", "n", "high", "low")]
+    nodes = materialize(marked.groupBy("node").agg(F.min("doc_id").alias("leader"), *columns), "nodes")
+
+    prints = materialize(nodes.groupBy("fingerprint").agg(F.min("node").alias("leader")), "unique")
+    same = nodes.join(prints.withColumnRenamed("leader", "first"), "fingerprint").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    links = materialize(near_links(prints, radius=radius).unionByName(same), "links")
+
+    # Sizes of similar sets are four cells apart at most.
+    width = -math.log(similarity) / 4
+    sized = nodes.where("n > 0").withColumn("_cell", F.floor(F.log(F.col("n").cast("double")) / width).cast("int"))
+    cells = sized.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("_tiles"))
+    placed = materialize(
+        sized.join(cells, "_cell").withColumn("_tile", F.pmod(F.xxhash64("node"), F.col("_tiles")).cast("int")).withColumn("tile", F.concat_ws("/", "_cell", "_tile")),
+        "placed",
+    )
+    names = placed.select("tile", "_cell", "_tile").distinct()
+    left = names.select(F.col("tile").alias("ta"), F.col("_cell").alias("_from"), F.col("_tile").alias("_t"), F.explode(F.sequence(F.col("_cell"), F.col("_cell") + 4)).alias("_cell"))
+    pairs = materialize(
+        left.join(names.withColumnRenamed("tile", "tb"), "_cell").where("_from < _cell or _t <= _tile").select("ta", "tb"), "tile_pairs"
+    )
+    found, skip, limit = components(links), 0, first
+    while True:
+        named = placed.join(found.select("node", "component"), "node", "left").withColumn("comp", F.coalesce("component", "node"))
+        # Sorted: a later round must meet the same ranks.
+        entry = F.sort_array(F.collect_list(F.struct("node", "n", "high", "low", "comp")))
+        tiles = named.groupBy("tile").agg(entry.alias("e")).select("tile", *[F.col(f"e.{c}").alias(c) for c in ("node", "n", "high", "low", "comp")])
+        met = materialize(candidates(materialize(tiles, "tiles"), pairs, similarity=similarity, radius=wide_radius, skip=skip, limit=limit), "candidates")
+        checked = similar(docs, nodes, met.where("a is not null").select("a", "b"), similarity=similarity, shingle_words=shingle_words)
+        links = materialize(links.unionByName(checked), "links")
+        found = materialize(components(links), "components")
+        pairs = met.where("a is null").select("ta", "tb")
+        if pairs.isEmpty():
+            return nodes.select("node", "leader").join(found, "node", "left").select("node", "leader", F.coalesce("component", "node").alias("component"))
+        skip, limit = limit, limit * MORE_LINKS

@@ -35,11 +35,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each SimHash component.
+    """The document with the smallest id of each component of near copies.
 
-    Of rows repeating that id, the least row stays.
+    Near copies share five-word shingles to 0.8 or more (exact Jaccard), or are
+    linked by op2's fingerprints. Of rows repeating that id, the least row stays.
     """
-    stays = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    noded = simhash.with_node(docs)
+    stays = simhash.similar_nodes(noded).groupBy("component").agg(F.min("leader").alias("doc_id")).select("doc_id").distinct()
     one = docs.join(stays, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return one.unionByName(docs.where("doc_id is null"))
 

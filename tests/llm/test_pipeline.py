@@ -31,3 +31,11 @@ def test_all_eleven_queries_are_registered():
     names = set(entry.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     assert {"op3_exact_top_k", "op5_line_dedup"} <= set(entry.oracle_sql())
+
+
+def test_a_copy_of_similarity_above_four_fifths_goes(spark):
+    words = [f"word{i}" for i in range(300)]
+    edited = [w if i % 50 else "other" for i, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(edited)), (3, " ".join(words[150:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r["doc_id"] for r in P.drop_near_duplicates(spark, docs, SF).orderBy("doc_id").collect()] == [1, 3]
