@@ -158,10 +158,25 @@ def window_filter(windows: DataFrame) -> np.ndarray:
     return bits
 
 
-def consistent(pairs: Column) -> Column:
-    """Whether slot pairs ``(item value, document value)`` rename one to one."""
-    return (F.size(F.array_distinct(F.transform(pairs, lambda p: p["item"]))) == F.size(pairs)) & (
-        F.size(F.array_distinct(F.transform(pairs, lambda p: p["doc"]))) == F.size(pairs)
+def chosen(windows: Column) -> Column:
+    """Slot pairs ``(item value, document value)`` that rename each item value to one document value.
+
+    Of several document values of an item value the one in most windows is
+    taken; ties go to the unchanged value, then to the least.
+    """
+    pairs = F.flatten(F.transform(windows, lambda w: w["pairs"]))
+    known = F.array_distinct(pairs)
+    voted = F.transform(
+        known,
+        lambda p: F.struct(
+            p["item"].alias("item"),
+            F.struct((-F.size(F.filter(pairs, lambda x: x == p))).alias("votes"), (p["item"] != p["doc"]).alias("changed"), p["doc"].alias("doc")).alias("rank"),
+        ),
+    )
+    best = F.filter(voted, lambda p: ~F.exists(voted, lambda q: (q["item"] == p["item"]) & (q["rank"] < p["rank"])))
+    values = F.array_distinct(F.transform(known, lambda p: p["item"]))
+    return F.when(F.size(values) == F.size(known), known).otherwise(
+        F.transform(best, lambda p: F.struct(p["item"].alias("item"), p["rank"]["doc"].alias("doc")))
     )
 
 
@@ -181,8 +196,9 @@ def find_leaks(
     are read as canonical tokens; windows of ``window`` tokens meet by a hash
     join behind a bit filter of fixed size. A document leaks an item if the
     windows it shares cover ``leak_words`` of the item's tokens (or the whole
-    item, if shorter) and the slot values rename one to one along one alignment:
-    the same number, unit or name is always replaced by the same other.
+    item, if shorter). Along one alignment the same number, unit or name is
+    always replaced by the same other; windows that contradict this do not count,
+    unless all their values are unchanged. Several values may become one.
 
     Items shorter than ``window`` (four tokens at least) are compared whole.
     Null or empty texts hold nothing. Rows without an id cannot be reported and
@@ -214,12 +230,20 @@ def find_leaks(
         theirs.join(mine, ["hash", "size"])
         .groupBy("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"))
         .agg(
-            F.collect_set("item_pos").alias("places"),
+            F.collect_set(F.struct("item_pos", pairs.alias("pairs"))).alias("windows"),
             F.max("size").alias("size"),
             F.max("item_words").alias("item_words"),
-            F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
         )
-        .where(consistent(F.col("pairs")))
+        .withColumn("_chosen", chosen(F.col("windows")))
+        .withColumn(
+            "windows",
+            F.filter(
+                "windows",
+                lambda w: F.forall(w["pairs"], lambda p: p["item"] == p["doc"]) | F.forall(w["pairs"], lambda p: F.array_contains("_chosen", p)),
+            ),
+        )
+        .withColumn("places", F.array_distinct(F.transform("windows", lambda w: w["item_pos"])))
+        .withColumn("pairs", F.array_distinct(F.flatten(F.transform("windows", lambda w: w["pairs"]))))
     )
     covered = F.array_distinct(
         F.flatten(F.transform("places", lambda p: F.sequence(p, p + F.col("size") - 1)))

@@ -142,6 +142,22 @@ def test_leaks_verbatim_renamed_and_inconsistent(spark):
     assert got[1]["n_changed"] == 0 and got[2]["n_changed"] == 5 and got[1]["coverage"] == 1.0
 
 
+def leaks(spark, docs, items):
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]): r for r in D.find_leaks(table, bench).collect()}
+
+
+def test_windows_beside_a_contradiction_still_leak(spark):
+    fruit = "we know that someone bought 3 apples from the shop and later sold 3 pears to the neighbours who live there"
+    sums = "the sum that someone must pay for 3 ripe apples is 5 coins and nobody knows whether that price is fair"
+    other = "here that contradicts 3 then 7 with none of the item at all"
+    docs = [ITEM.replace("Alice", "Bob"), fruit.replace("3 pears", "9 pears"), sums.replace("3", "4").replace("5", "4"), other]
+    got = leaks(spark, docs, [ITEM, fruit, sums])
+    assert set(got) == {(0, 0), (1, 1), (2, 2)}
+    assert got[2, 2]["n_slots"] == got[2, 2]["n_changed"] == 2
+
+
 def test_leaks_equal_brute_force_on_plain_words(spark):
     rng = random.Random(5)
     vocabulary = [a + b for a in "bcdfghklm" for b in ("ato", "ire", "une", "ola")]
