@@ -23,6 +23,8 @@ UNITS = frozenset(
 )
 #: Positions of the filter over benchmark windows: 512 KB, however large the benchmark.
 FILTER_BITS = 1 << 22
+#: Letters of scripts written without spaces: each is a token.
+_UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"[+-]?\d[\d.,:/]*\d|\d")
 _NUMBER_UNIT = re.compile(r"([+-]?\d[\d.,]*)([^\W\d_]+|%)")
@@ -63,9 +65,11 @@ def template_windows(source: DataFrame, *, sizes: tuple[int, ...], min_words: in
     Numbers, units and names become typed placeholders before hashing; ``slots``
     holds their values in order. A unit counts as one only behind a number.
     Windows with names come a second time with the names as plain words, so that
-    an upper-cased or lower-cased copy still meets its item.
-    Windows with fewer than ``min_words`` plain words (or their whole size, if
-    smaller) say nothing and are left out. ``keep`` is a bit filter of window
+    an upper-cased or lower-cased copy still meets its item, and windows with any
+    slot once more with all values as words, so that a verbatim copy meets its
+    item however many slots it has. Windows with fewer than ``min_words`` plain
+    words (or their whole size, if smaller) say nothing as templates and come only
+    with their values. ``keep`` is a bit filter of window
     hashes; without it every window is returned. ``words`` is the number of
     tokens of the whole text.
     """
@@ -76,6 +80,8 @@ def template_windows(source: DataFrame, *, sizes: tuple[int, ...], min_words: in
         constants = {k: xxhash.xxh64_intdigest(v) for k, v in PLACEHOLDERS.items()}
         for batch in slices(batches, 1, 4 << 20):
             text = pc.fill_null(batch.column(1), "")
+            if pc.any(pc.match_substring_regex(text, _UNSPACED)).as_py():
+                text = pc.replace_substring_regex(text, _UNSPACED, r" \1 ")
             lists = pc.utf8_split_whitespace(text)
             coded = pc.list_flatten(lists).dictionary_encode()
             names = coded.dictionary.to_pylist()
@@ -100,9 +106,10 @@ def template_windows(source: DataFrame, *, sizes: tuple[int, ...], min_words: in
             counts = np.bincount(doc, minlength=batch.num_rows)
             begin = np.cumsum(counts) - counts
             named = np.concatenate([[0], np.cumsum(kind == 3)])
+            slotted = np.concatenate([[0], np.cumsum(kind > 0)])
             out = []
-            # Once with names as placeholders, once as words: case may be lost in either text.
-            for typed, kinds_read in ((True, kind), (False, np.where(kind == 3, 0, kind))):
+            # With names as placeholders, then as words (case may be lost in either text), then all values as words.
+            for read, kinds_read in enumerate((kind, np.where(kind == 3, 0, kind), np.zeros_like(kind))):
                 value = hashes[token]
                 for k, h in constants.items():
                     value = np.where(kinds_read == k, np.uint64(h), value)
@@ -112,18 +119,23 @@ def template_windows(source: DataFrame, *, sizes: tuple[int, ...], min_words: in
                     n = len(token) - size + 1
                     if n <= 0:
                         continue
-                    h = np.zeros(n, dtype=np.uint64)
+                    good = doc[:n] == doc[size - 1 :]
+                    if read < 2:
+                        good &= plain[size:] - plain[:n] >= min(min_words, size)
+                    if read:
+                        some = named if read == 1 else slotted
+                        good &= some[size:] > some[:n]
+                    at = np.flatnonzero(good)
+                    h = np.zeros(len(at), dtype=np.uint64)
                     for k in range(size):
-                        h = _mix(h + value[k : k + n])
-                    good = (doc[:n] == doc[size - 1 :]) & (plain[size:] - plain[:n] >= min(min_words, size))
-                    if not typed:
-                        good &= named[size:] > named[:n]
+                        h = _mix(h + value[at + k])
                     if keep is not None:
                         place = (h & np.uint64(FILTER_BITS - 1)).astype(np.int64)
-                        good &= (keep[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-                    for i in np.flatnonzero(good):
+                        kept = (keep[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+                        at, h = at[kept], h[kept]
+                    for i, hashed in zip(at.tolist(), h.view(np.int64).tolist(), strict=True):
                         slots = [_EDGE.sub("", names[token[j]]).lower() for j in range(i, i + size) if kinds_read[j] > 0]
-                        out.append((doc[i], i - begin[doc[i]], h[i : i + 1].view(np.int64)[0], size, counts[doc[i]], slots))
+                        out.append((doc[i], i - begin[doc[i]], hashed, size, counts[doc[i]], slots))
             if out:
                 d, pos, h, size, words, slots = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays(
@@ -200,17 +212,21 @@ def find_leaks(
     always replaced by the same other; windows that contradict this do not count,
     unless all their values are unchanged. Several values may become one.
 
-    Items shorter than ``window`` (four tokens at least) are compared whole.
+    Items shorter than ``window`` are compared whole, those of fewer than four
+    tokens only verbatim.
     Null or empty texts hold nothing. Rows without an id cannot be reported and
     are left out, as are items without one; repeated rows give one result row.
     Other columns are ignored; empty tables give an empty result.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text")).where("item_id is not null")
     whole = {"min_words": min_words, "keep": None, "key_col": "item_id", "text_col": "text"}
-    sizes = tuple(range(4, window + 1))
+    sizes = tuple(range(1, window + 1))
     # A size below the window serves only the items of just that many tokens.
     found = materialize(
-        template_windows(items, sizes=sizes, **whole).where((F.col("size") == window) | (F.col("words") == F.col("size"))), "windows"
+        template_windows(items, sizes=sizes, **whole)
+        .where((F.col("size") == window) | (F.col("words") == F.col("size")))
+        .where((F.col("size") >= 4) | (F.size("slots") == 0)),
+        "windows",
     )
     used = tuple(sorted(r["size"] for r in found.select("size").distinct().collect()))
     mine = found.select(

@@ -158,6 +158,23 @@ def test_windows_beside_a_contradiction_still_leak(spark):
     assert got[2, 2]["n_slots"] == got[2, 2]["n_changed"] == 2
 
 
+def test_items_full_of_slots_or_very_short_are_found_verbatim(spark):
+    items = [
+        "What is 12 + 7 * 3 - 4 / 2 ?",
+        "In 1990 2000 2010 and 2020 which city won the prize",
+        "add 3 to 9",
+        "Kyzyl gorge",
+        "他们昨天在北京大学的图书馆里读了三本书",
+        "12 kg 7 km 3 m 4 s 9 t 1 mg 2 g 5 l",
+    ]
+    docs = [f"some words before it {x} and other words after it" for x in items]
+    docs += [x.replace("12", "13").replace("1990", "1991").replace("3", "8") for x in docs[:3]] + [items[5].upper(), "前言" + items[4] + "后记"]
+    got = set(leaks(spark, docs, items))
+    assert {(i, i) for i in range(6)} | {(9, 5), (10, 4)} <= got
+    # Too few plain words for a template: only a verbatim copy counts.
+    assert not {(6, 0), (8, 2)} & got
+
+
 def test_leaks_equal_brute_force_on_plain_words(spark):
     rng = random.Random(5)
     vocabulary = [a + b for a in "bcdfghklm" for b in ("ato", "ire", "une", "ola")]
