@@ -244,3 +244,16 @@ def test_intermediates_lie_in_one_folder_and_go(spark, tmp_path, monkeypatch):
         assert session.materialize(spark.range(3), "numbers").count() == 3
     assert os.listdir(tmp_path / "shared") == [f"cartomark-{spark.sparkContext.applicationId}"]
     assert session.remove_intermediates(spark) and os.listdir(tmp_path / "shared") == []
+
+
+def test_a_large_map_lands_as_many_pages(spark, monkeypatch):
+    from cartomark.sources import readers
+    from cartomark.workload import scan_queries
+
+    paths, read = [], readers.read_json_pages
+    monkeypatch.setattr(scan_queries, "PAGE_RECORDS", 50, raising=False)
+    monkeypatch.setattr(readers, "read_json_pages", lambda s, path: paths.append(path) or read(s, path))
+    got = scan_queries.s03(spark, "/root/testdata/sf0.001")
+    files = read(spark, paths[0]).where("read_corrupt = 'no_corrupt'").groupBy("source_file").count()
+    most = files.agg({"count": "max"}).first()[0]
+    assert most <= 150 and got.where("read_corrupt = 'corrupted'").count() == got.where("read_corrupt = 'corrupted'").select("cog_id").distinct().count()
