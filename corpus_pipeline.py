@@ -38,11 +38,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The document with the smallest id of each component of near copies.
 
     Near copies share five-word shingles to 0.8 or more (exact Jaccard), or are
-    linked by op2's fingerprints. Of rows repeating that id, the least row stays.
+    linked by op2's fingerprints. Rows are decided one by one, by their own text:
+    each component keeps one row, so an id with several texts may stay several times.
     """
     noded = simhash.with_node(docs)
-    stays = simhash.similar_nodes(noded).groupBy("component").agg(F.min("leader").alias("doc_id")).select("doc_id").distinct()
-    one = docs.join(stays, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    stays = simhash.similar_nodes(noded).groupBy("component").agg(F.min(F.struct(F.col("leader").alias("doc_id"), F.col("node").alias("_node"))).alias("stay")).select("stay.*")
+    # Rows with one id and one text, but for case and spaces: the least stays.
+    one = noded.join(stays, ["doc_id", "_node"], "left_semi").groupBy("doc_id", "_node").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return one.unionByName(docs.where("doc_id is null"))
 
 

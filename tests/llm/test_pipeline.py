@@ -39,3 +39,11 @@ def test_a_copy_of_similarity_above_four_fifths_goes(spark):
     rows = [(1, " ".join(words)), (2, " ".join(edited)), (3, " ".join(words[150:]))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert [r["doc_id"] for r in P.drop_near_duplicates(spark, docs, SF).orderBy("doc_id").collect()] == [1, 3]
+
+
+def test_rows_that_repeat_an_id_are_decided_by_their_own_text(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, b), (1, c), (1, c), (2, a), (3, a), (3, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = P.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == [(1, b), (1, c), (2, a)]
