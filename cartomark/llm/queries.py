@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartomark.llm import chat_format, decontamination, license_scan, line_dedup, lm_scoring, packing, secret_scan, simhash, toxicity, vector_search
+from cartomark.llm import chat_format, decontamination, filter_audit, license_scan, line_dedup, lm_scoring, packing, secret_scan, simhash, toxicity, vector_search
 from cartomark.llm.common import byte_bpe, table
 from cartomark.llm.registry import query
 
@@ -120,3 +120,61 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(5)) == 1
     scored = lm_scoring.score_documents(table(spark, sf_dir, "documents"), ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+FILTER_AUDIT_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    map {'A': len(words) < 200,
+         'B': 100 * len(list_distinct(words)) < 50 * len(words),
+         'C': 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 2 * length(text),
+         'D': regexp_matches(text, '[#$%&*|]'),
+         'E': coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY text), false)} AS fails
+  FROM d LEFT JOIN l ON l.doc_id = d.doc_id
+),
+c AS (
+  SELECT part, fails['A'] AS a, fails['B'] AS b, fails['C'] AS c, fails['D'] AS d, fails['E'] AS e, any_value(fails) AS fails,
+    count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f GROUP BY ALL
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT v.x || w.x || x.x || y.x || z.x AS filter_order
+  FROM letters v, letters w, letters x, letters y, letters z
+  WHERE len(list_distinct([v.x, w.x, x.x, y.x, z.x])) = 5
+),
+steps AS (SELECT filter_order, s AS step, filter_order[s] AS letter FROM orders, range(1, 6) t(s)),
+parts AS (SELECT DISTINCT part FROM c),
+told AS (
+  SELECT part, n, good, toxic, filter_order, step, letter,
+    fails[letter] AS failed,
+    len(list_filter(range(1, step), lambda k: fails[filter_order[k]])) > 0 AS earlier,
+    len(list_filter(['A', 'B', 'C', 'D', 'E'], lambda k: fails[k])) = 1 AS once
+  FROM c, steps
+),
+counted AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, letter,
+    CAST(coalesce(sum(n) FILTER (NOT failed AND NOT earlier), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (failed AND NOT earlier), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (failed AND earlier), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (failed AND once), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (failed AND NOT earlier), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (failed AND NOT earlier), 0) AS BIGINT) AS toxic_lost
+  FROM told GROUP BY part, filter_order, step, letter
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
+@query("op13_filter_interaction_audit", FILTER_AUDIT_SQL)
+def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = filter_audit.failure_histogram(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filter_audit.audit(found)
