@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartomark.llm import chat_format, decontamination, filter_audit, license_scan, line_dedup, lm_scoring, packing, secret_scan, simhash, toxicity, vector_search
+from cartomark.llm import chat_format, decontamination, filter_audit, lexical_search, license_scan, line_dedup, lm_scoring, packing, secret_scan, simhash, toxicity, vector_search
 from cartomark.llm.common import byte_bpe, table
 from cartomark.llm.registry import query
 
@@ -178,3 +178,30 @@ FROM counted
 def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = filter_audit.failure_histogram(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return filter_audit.audit(found)
+
+
+LEXICAL_SEARCH_SQL = r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\x{80}-\x{10FFFF}]+') AS terms
+  FROM documents WHERE doc_id IS NOT NULL
+),
+d AS (SELECT row_number() OVER () AS r, doc_id, terms, len(terms) AS n FROM t WHERE len(terms) > 0),
+s AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM d),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL
+),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM p, s GROUP BY term),
+scored AS (
+  SELECT item_id, r, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN d USING (r), s GROUP BY item_id, r, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 10
+"""
+
+
+@query("op12_ranked_lexical_search", LEXICAL_SEARCH_SQL)
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
