@@ -163,6 +163,8 @@ def lists_of(parts: list[tuple[np.ndarray, ...]], **corpus) -> ImpactLists:
 
 def ranked(items: list[tuple[int, np.ndarray]], k: int, corpus: dict, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The best ``k`` documents of a task for each item; later lists start from what earlier ones gave."""
+    if not items:
+        return
     none = np.empty(0, dtype=np.int64)
     best = [(none, none)] * len(items)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartomark.llm import chat_format, decontamination, filter_audit, lexical_search, license_scan, line_dedup, lm_scoring, packing, secret_scan, simhash, toxicity, vector_search
+from cartomark.llm import chat_format, decontamination, filter_audit, lexical_search, license_scan, line_dedup, lm_scoring, packing, partition_index, secret_scan, simhash, toxicity, vector_search
 from cartomark.llm.common import byte_bpe, table
 from cartomark.llm.registry import query
 
@@ -205,3 +205,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 @query("op12_ranked_lexical_search", LEXICAL_SEARCH_SQL)
 def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_approximate_neighbours")
+def op11_approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partition_index.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
