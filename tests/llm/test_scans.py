@@ -126,6 +126,7 @@ def test_odd_rows_have_no_license(odd_docs, no_docs, spark):
 
 
 ITEM = "A train leaves Boston at 9 km distance and then the driver named Alice counts 40 kg of apples before Bob arrives with 12 more apples for her"
+REPEATED = "the clerk named Alice sold bread and then Alice went home while later Alice told nobody about it"
 BENCH = "item_id long, text string, doc_id string"
 
 
@@ -134,11 +135,14 @@ def test_leaks_verbatim_renamed_and_inconsistent(spark):
     mixed = "we saw that " + ITEM.replace("Alice", "Bob") + " and Alice too"
     filler = " ".join(f"filler{i} words" for i in range(40))
     docs = [(1, f"{filler} {ITEM} {filler}"), (2, f"{filler}. {renamed}, {filler}"), (3, filler), (4, ITEM.upper()), (5, mixed), (6, " ".join(ITEM.split()[:9]))]
+    # One value replaced by three others: no thirteen words are left once the windows that contradict are dropped.
+    docs += [(20, REPEATED.replace("Alice", "Maria", 1).replace("Alice", "Eve", 1).replace("Alice", "Zoe")), (21, REPEATED.replace("Alice", "Maria"))]
     docs += [(7, None), (8, ""), (None, ITEM), (1, f"{filler} {ITEM} {filler}")]
-    bench = spark.createDataFrame([(10, ITEM, "z"), (11, None, "z"), (12, "too short", "z"), (None, ITEM, "z")], BENCH)
+    bench = spark.createDataFrame([(10, ITEM, "z"), (11, None, "z"), (12, "too short", "z"), (13, REPEATED, "z"), (None, ITEM, "z")], BENCH)
     table = spark.createDataFrame([(*d, "x", "y") for d in docs], "doc_id long, text string, item_id string, pos string")
     got = {r["doc_id"]: r for r in D.find_leaks(table, bench).collect()}
-    assert set(got) == {1, 2, 4} and all(r["item_id"] == 10 for r in got.values())
+    # Document 5 repeats thirteen words of the item before the name that contradicts.
+    assert {d: r["item_id"] for d, r in got.items()} == {1: 10, 2: 10, 4: 10, 5: 10, 21: 13}
     assert got[1]["n_changed"] == 0 and got[2]["n_changed"] == 5 and got[1]["coverage"] == 1.0
 
 
