@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartomark.llm import decontamination, line_dedup, packing, simhash, toxicity
+from cartomark.llm import decontamination, line_dedup, packing, similar_texts, toxicity
 from cartomark.llm.common import byte_bpe, table
 from cartomark.session import materialize
 
@@ -37,14 +37,15 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component of near copies.
 
-    Near copies share five-word shingles to 0.8 or more (exact Jaccard), or are
-    linked by op2's fingerprints. Rows are decided one by one, by their own text:
-    each component keeps one row, so an id with several texts may stay several times.
+    Near copies share five-word shingles to 0.8 or more (exact Jaccard). Rows are
+    decided one by one, by their own text: each component keeps one row, so an id
+    with several texts may stay several times. Of rows with one id and one text,
+    but for case and spaces, the least text stays, and any one row of equal ones.
     """
-    noded = simhash.with_node(docs)
-    stays = simhash.similar_nodes(noded).groupBy("component").agg(F.min(F.struct(F.col("leader").alias("doc_id"), F.col("node").alias("_node"))).alias("stay")).select("stay.*")
-    # Rows with one id and one text, but for case and spaces: the least stays.
-    one = noded.join(stays, ["doc_id", "_node"], "left_semi").groupBy("doc_id", "_node").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    noded = similar_texts.with_node(docs)
+    stays = similar_texts.similar_nodes(noded).groupBy("component").agg(F.min(F.struct(F.col("leader").alias("doc_id"), F.col("node").alias("_node"))).alias("stay")).select("stay.*")
+    kept = noded.join(stays, ["doc_id", "_node"], "left_semi").groupBy("doc_id", "_node")
+    one = kept.agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct("text")).alias("row")).select("row.*")
     return one.unionByName(docs.where("doc_id is null"))
 
 
