@@ -230,7 +230,8 @@ def tested_pairs(docs: DataFrame, nodes: DataFrame, left: DataFrame, right: Data
     fields = ("node", "n", "comp", "bits", "mins")
 
     def packed(side: DataFrame, key: str) -> DataFrame:
-        tiles = side.groupBy(F.col("tile").alias(key)).agg(F.collect_list(F.struct(*fields)).alias("e"))
+        # Sorted: a tile that meets itself must come in one order from either side.
+        tiles = side.groupBy(F.col("tile").alias(key)).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("e"))
         return pairs.join(tiles, key).select(F.concat_ws("|", "ta", "tb").alias("pair"), (F.col("ta") == F.col("tb")).alias("same"), F.col("e").alias(f"e_{key}"))
 
     met = packed(left, "ta").join(packed(right, "tb").drop("same").hint("merge"), "pair")
@@ -292,6 +293,15 @@ def tested_pairs(docs: DataFrame, nodes: DataFrame, left: DataFrame, right: Data
     return units.join(hashed, "node").select("unit", "side", *fields, "set").groupBy("unit").applyInArrow(verify, "a long, b long")
 
 
+def with_links(found: DataFrame, new: DataFrame) -> DataFrame:
+    """Components ``found`` joined further by ``new`` links."""
+    new = materialize(new, "links")
+    if new.isEmpty():
+        return found
+    stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return materialize(components(stars.unionByName(new)), "components")
+
+
 def similar_nodes(docs: DataFrame, *, similarity: float = 0.8, shingle_words: int = 5, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """``node, leader, component`` of every text with an id; ``docs`` comes from :func:`with_node`.
 
@@ -329,17 +339,15 @@ def similar_nodes(docs: DataFrame, *, similarity: float = 0.8, shingle_words: in
     docs = docs.where("doc_id is not null")
     exact = {"similarity": similarity, "shingle_words": shingle_words, "radius": radius}
     alone = placed.withColumn("comp", F.col("node"))
-    links = materialize(tested_pairs(docs, nodes, alone, alone, names.select(F.col("tile").alias("ta"), F.col("tile").alias("tb")), **exact), "links")
+    links = tested_pairs(docs, nodes, alone, alone, names.select(F.col("tile").alias("ta"), F.col("tile").alias("tb")), **exact)
     found = materialize(components(links), "components")
     if not across.isEmpty():
         named = placed.join(found, "node", "left").withColumn("comp", F.coalesce("component", "node"))
         first = placed.join(found, "node").groupBy("tile", "component").agg(F.min("node").alias("node")).select("node", F.lit(True).alias("first"))
         named = materialize(named.join(first, "node", "left").withColumn("rep", F.col("component").isNull() | F.col("first").isNotNull()).drop("component", "first"), "named")
         reps = named.where("rep")
-        links = materialize(links.unionByName(tested_pairs(docs, nodes, reps, reps, across, **exact)), "links")
-        found = materialize(components(links), "components")
+        found = with_links(found, tested_pairs(docs, nodes, reps, reps, across, **exact))
         rest = named.drop("comp").join(found, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
         both = across.unionByName(across.select(F.col("tb").alias("ta"), F.col("ta").alias("tb")))
-        links = links.unionByName(tested_pairs(docs, nodes, rest.where("not rep"), rest, both, **exact))
-        found = materialize(components(links), "components")
+        found = with_links(found, tested_pairs(docs, nodes, rest.where("not rep"), rest, both, **exact))
     return nodes.select("node", "leader").join(found, "node", "left").select("node", "leader", F.coalesce("component", "node").alias("component"))
