@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cartomark.functions import geometry as G
 from cartomark.functions.grid import axis_cell, bbox_cover, parent_cell
+from cartomark.session import materialize
 
 #: Cells a feature may span along one axis before it moves to a coarser level.
 SPAN = 8
@@ -43,13 +44,8 @@ def cell_prefilter(
     """Features that share cells with the other side at every listed level.
 
     Each level is an independent semi join on an exploded cell; the truth side is
-    then reduced against what is left of the performer side. Covers at different
-    levels (column ``cell_level``) meet at the coarser one; there the fine cells
-    alone decide, as sharing one implies sharing its parent.
+    then reduced against what is left of the performer side.
     """
-    if "cell_level" in perf.columns or "cell_level" in truth.columns:
-        kept = _keep_by_level(perf, truth, keys)
-        return kept, _keep_by_level(truth, kept, keys)
 
     def keep(side: DataFrame, other: DataFrame) -> DataFrame:
         for col in cell_cols:
@@ -67,54 +63,19 @@ def cell_prefilter(
     return kept_perf, keep(truth, kept_perf)
 
 
-def _keep_by_level(side: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``side`` whose cover meets one of ``other``, each at its own level.
-
-    A cover also visits the coarser levels in use on the other side, a handful of
-    integers per key. Own cells meet own and visiting ones; two visitors prove nothing.
-    """
-
-    def levelled(df: DataFrame) -> DataFrame:
-        return df if "cell_level" in df.columns else df.withColumn("cell_level", F.lit(0))
-
-    def cells(a: DataFrame, b: DataFrame) -> DataFrame:
-        used = b.groupBy(*keys).agg(F.collect_set("cell_level").alias("_levels"))
-        own = F.col("cell_level")
-        above = F.filter("_levels", lambda lv: lv > own)
-        at = F.explode(F.concat(F.array(own), above)).alias("_lv")
-        placed = a.join(used, list(keys)).select(*keys, "fid", own.alias("_own"), "fine_cells", at)
-        up = F.col("_lv") - F.col("_own")
-        ids = F.array_distinct(F.transform("fine_cells", lambda c: parent_cell(c, up)))
-        return placed.select(*keys, "fid", "_lv", (up == 0).alias("_home"), F.explode(ids).alias("_cell"))
-
-    a, b = levelled(side), levelled(other)
-    mine, theirs = cells(a, b), cells(b, a).drop("fid").distinct()
-    on = [*keys, "_lv", "_cell"]
-    met = mine.where("_home").join(theirs, on, "left_semi").unionByName(
-        mine.where("not _home").join(theirs.where("_home"), on, "left_semi")
-    )
-    return side.join(met.select(*keys, "fid").distinct(), [*keys, "fid"], "left_semi")
-
-
 def box_prefilter(
     perf: DataFrame, truth: DataFrame, keys: Sequence[str], size: float
 ) -> tuple[DataFrame, DataFrame]:
-    """:func:`cell_prefilter` straight from boxes at one cell size.
+    """Features of either side whose boxes share a cell of ``size`` with one of the other.
 
     A cell lies wholly in its coarse parent, so sharing a fine cell implies
-    sharing the coarse one and the fine test alone decides.
+    sharing the coarse one. Boxes are placed as in :func:`spatial_pairs`, so a
+    map-wide box takes a few coarse cells, and a semi join asks for any partner.
     """
-    b = F.col("bbox")
-
-    def cells(side: DataFrame) -> DataFrame:
-        across = F.sequence(axis_cell(b["xmin"], size), axis_cell(b["xmax"], size))
-        down = F.sequence(axis_cell(b["ymin"], size), axis_cell(b["ymax"], size))
-        return side.withColumn("_col", F.explode(across)).withColumn("_row", F.explode(down))
 
     def keep(side: DataFrame, other: DataFrame) -> DataFrame:
-        on = [*keys, "_col", "_row"]
-        there = cells(other).select(*on).distinct()
-        ids = cells(side).select(*on, "fid").join(there, on, "left_semi").select(*keys, "fid").distinct()
+        left, right, on = _placed_sides(side.select(*keys, "fid", "bbox"), other.select(*keys, "bbox").distinct(), keys, size)
+        ids = left.join(right, on, "left_semi").select(*keys, F.col("p_fid").alias("fid")).distinct()
         return side.join(ids, [*keys, "fid"], "left_semi")
 
     return keep(perf, truth), keep(truth, perf)
@@ -130,11 +91,11 @@ def _level(box: Column, size: float) -> Column:
 def _oversize(side: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Coarse levels in use per key: a handful of integers per key that has any.
 
-    The level test stays inside the aggregate, so that this branch reads the same
-    exchange as the join instead of filtering its own copy of the input.
+    Written once, so its size is known: while it is small, the sides get their
+    levels where they are, without an exchange by key.
     """
-    levels = F.collect_set(F.when(F.col("_level") > 0, F.col("_level"))).alias("_coarser")
-    return side.groupBy(*keys).agg(levels).where(F.size("_coarser") > 0)
+    levels = side.where("_level > 0").groupBy(*keys).agg(F.collect_set("_level").alias("_coarser"))
+    return materialize(levels, "coarse-levels")
 
 
 def _place(side: DataFrame, size: float, slots: Column) -> DataFrame:
@@ -161,25 +122,10 @@ def _place(side: DataFrame, size: float, slots: Column) -> DataFrame:
     )
 
 
-def spatial_pairs(
-    perf: DataFrame,
-    truth: DataFrame,
-    keys: Sequence[str],
-    size: float,
-    *,
-    condition: Column | None = None,
-    oversize: bool = True,
-) -> DataFrame:
-    """Performer and truth features of equal ``keys`` whose covers share a cell.
-
-    Columns of the two sides come back prefixed ``p_`` and ``g_``; ``keys`` keep
-    their names. The join is an equi-join on (keys, level, cell). A pair is
-    emitted only in the first cell the two covers share, so no pair
-    de-duplication shuffle follows. Boxes too large for the base cell size are
-    placed at a coarser level; smaller ones visit that level only for keys where
-    the other side has such boxes. ``condition`` (over ``p_bbox``/``g_bbox``)
-    is evaluated inside the join.
-    """
+def _placed_sides(
+    perf: DataFrame, truth: DataFrame, keys: Sequence[str], size: float, oversize: bool = True
+) -> tuple[DataFrame, DataFrame, list[Column]]:
+    """Both sides with a row per cell, columns prefixed, and the conditions of their join."""
     sides = [
         side.withColumn("_level", _level(F.col("bbox"), size) if oversize else F.lit(0))
         for side in (perf, truth)
@@ -229,14 +175,32 @@ def spatial_pairs(
         for lo, hi in (("xmin", "xmax"), ("ymin", "ymax")):
             on.append(axis_cell(a[lo], size) <= axis_cell(b[hi], size))
             on.append(axis_cell(b[lo], size) <= axis_cell(a[hi], size))
-    if condition is not None:
-        on.append(condition)
-    cond = on[0]
-    for term in on[1:]:
-        cond = cond & term
+    return left, right, on
+
+
+def spatial_pairs(
+    perf: DataFrame,
+    truth: DataFrame,
+    keys: Sequence[str],
+    size: float,
+    *,
+    condition: Column | None = None,
+    oversize: bool = True,
+) -> DataFrame:
+    """Performer and truth features of equal ``keys`` whose covers share a cell.
+
+    Columns of the two sides come back prefixed ``p_`` and ``g_``; ``keys`` keep
+    their names. The join is an equi-join on (keys, level, cell). A pair is
+    emitted only in the first cell the two covers share, so no pair
+    de-duplication shuffle follows. Boxes too large for the base cell size are
+    placed at a coarser level; smaller ones visit that level only for keys where
+    the other side has such boxes. ``condition`` (over ``p_bbox``/``g_bbox``)
+    is evaluated inside the join.
+    """
+    left, right, on = _placed_sides(perf, truth, keys, size, oversize)
     scratch = ("p__c0", "p__r0", "g__c0", "g__r0", "_slot", "_lv", "_col", "_row")
-    out = left.join(right, cond, "inner")
-    return out.drop(*scratch, *[f"_g{c}" for c in join_cols])
+    out = left.join(right, on if condition is None else [*on, condition], "inner")
+    return out.drop(*scratch, *[c for c in right.columns if c.startswith("_g")])
 
 
 def score_boxes(pairs: DataFrame, predicate: str = "intersects") -> DataFrame:
@@ -256,10 +220,8 @@ def cell_index_table(
 
     ``coarse_cells``/``fine_cells`` are exploded as in the index file of the
     evaluation set. A crowded cell is cut into as many pages as its count needs,
-    so that no list outgrows a row. Covers at several levels are kept apart by
-    ``cell_level``.
+    so that no list outgrows a row.
     """
-    keys = [*keys, *[c for c in ("cell_level",) if c in features.columns and c not in keys]]
     rows = features.select(*keys, F.explode("coarse_cells").alias("coarse_cell"), "fine_cells", ref)
     rows = rows.select(*keys, "coarse_cell", F.explode("fine_cells").alias("fine_cell"), ref)
     cell = [*keys, "coarse_cell", "fine_cell"]

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from cartomark.functions import geometry as G
 from cartomark.functions import nested as N
 from cartomark.functions.geometry import USE_SPATIAL_INDEX
+from cartomark.operators import cover
 from cartomark.plans import evaluate, georef, labels, orchestrate, prepare
 from cartomark.session import materialize
 from cartomark.sources import writers
@@ -33,14 +34,14 @@ def prepare_truth(
     ontology: DataFrame,
     *,
     cell: float,
-    levels: int = 3,
     threshold: float = 0.9,
 ) -> dict[str, DataFrame]:
     """Match raster labels to field values and cut the truth by label.
 
     ``features``: fid, id, shp_file, field_name, field_pos, value, geom_kind,
     read_corrupt and geojson, one row per feature and text field.
-    ``raster_labels``: id, binary_value.
+    ``raster_labels``: id, binary_value. The table ``cover`` has the cells of
+    the truth, ``cell`` wide at the base.
     """
     values = features.select(
         "id", "shp_file", "geom_kind", "field_name", "field_pos", "value", "read_corrupt"
@@ -60,13 +61,15 @@ def prepare_truth(
     kinds = values.where("read_corrupt = 'no_corrupt'").select("id", "shp_file", kind.alias("geom_type")).distinct()
     crude, rest = labels.crude_matches(unmatched, kinds, ontology)
     clean = features.where("read_corrupt = 'no_corrupt'").drop("shp_file", "field_pos", "read_corrupt")
-    truth, counts = prepare.truth_features(clean, matches, cell, levels)
+    truth, counts = prepare.truth_features(clean, matches)
+    truth = materialize(truth, "truth")
     return {
         "matches": matches,
         "success": labels.success_rates(raster_labels, matches),
         "crude": crude,
         "unmatched": rest,
         "truth": truth,
+        "cover": cover.compact_cover(truth, cell),
         "labels": counts,
     }
 

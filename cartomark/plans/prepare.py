@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from cartomark.functions import geometry as G
 from cartomark.functions import nested as N
 from cartomark.functions import projection as P
-from cartomark.functions.grid import cell_id, parent_cell
 from cartomark.functions.text import strip_nonword
-from cartomark.operators.raster import merge_runs
 
 
 def to_geometry(kind: Column, rings: Column) -> Column:
@@ -29,96 +27,13 @@ def reproject(geom: Column, code: Column, to_utm: bool) -> Column:
     return G.geometry(geom["kind"], F.transform(geom["rings"], lambda ring: F.transform(ring, move)))
 
 
-#: Cells a geometry may span per axis before its cover moves to a coarser level.
-MAX_SPAN = 256
-
-
-def ring_cells(features: DataFrame, size: float, levels: int, geom: str = "geom") -> DataFrame:
-    """Exact fine and coarse cells of geometries: touched by the outline, or inside.
-
-    Each edge is cut by grid row; the columns it touches in that row follow from
-    its ends there. Inside cells come from the crossings of the row's middle by
-    the even-odd rule. Cells come back as arrays per feature. A geometry wider
-    than ``MAX_SPAN`` cells is covered at the coarser level ``cell_level``, so
-    that no array grows with the size of the map; its cell ids are parents of
-    base cells, and joins compare them with others' parents at that level.
-    """
-    b = G.geometry_box(F.col(geom))
-    extent = F.greatest(b["xmax"] - b["xmin"], b["ymax"] - b["ymin"])
-    level = F.ceil(F.log2(F.greatest(extent / F.lit(size * MAX_SPAN), F.lit(1.0)))).cast("int")
-    features = features.withColumn("cell_level", level)
-    segments = F.when(
-        F.col(geom)["kind"] == "point",
-        F.transform(
-            F.flatten(F.col(geom)["rings"]),
-            lambda p: F.struct(
-                p["x"].alias("x1"), p["y"].alias("y1"), p["x"].alias("x2"), p["y"].alias("y2")
-            ),
-        ),
-    ).otherwise(G.geometry_segments(F.col(geom)))
-    scaled = features.select(
-        "fid",
-        "cell_level",
-        (F.col(geom)["kind"] == "polygon").alias("_fill"),
-        (F.lit(float(size)) * F.pow(F.lit(2.0), F.col("cell_level"))).alias("_size"),
-        F.inline(segments),
-    )
-    scaled = scaled.withColumns({c: F.col(c) / F.col("_size") for c in ("x1", "y1", "x2", "y2")})
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    rows = scaled.withColumn(
-        "row", F.explode(F.sequence(F.floor(low).cast("bigint"), F.floor(high).cast("bigint")))
-    )
-    flat = F.col("y1") == F.col("y2")
-
-    def x_at(y: Column) -> Column:
-        return F.col("x1") + (y - F.col("y1")) * (F.col("x2") - F.col("x1")) / (
-            F.col("y2") - F.col("y1")
-        )
-
-    y = F.col("row").cast("double")
-    xa, xb = x_at(F.greatest(low, y)), x_at(F.least(high, y + 1.0))
-    run = F.struct(
-        F.floor(F.when(flat, F.least("x1", "x2")).otherwise(F.least(xa, xb))).cast("bigint").alias("c0"),
-        F.floor(F.when(flat, F.greatest("x1", "x2")).otherwise(F.greatest(xa, xb))).cast("bigint").alias("c1"),
-    )
-    mid = y + 0.5
-    crosses = F.col("_fill") & ~flat & (mid >= low) & (mid < high)
-    per_row = (
-        rows.select("fid", "cell_level", "row", run.alias("_run"), F.when(crosses, x_at(mid)).alias("_x"))
-        .groupBy("fid", "cell_level", "row")
-        .agg(F.collect_list("_run").alias("_runs"), F.array_sort(F.collect_list("_x")).alias("_xs"))
-    )
-    inside = F.when(
-        F.size("_xs") >= 2,
-        F.transform(
-            F.sequence(F.lit(1), F.floor(F.size("_xs") / 2).cast("int")),
-            lambda i: F.struct(
-                F.floor(F.element_at("_xs", i * 2 - 1)).cast("bigint").alias("c0"),
-                F.floor(F.element_at("_xs", i * 2)).cast("bigint").alias("c1"),
-            ),
-        ),
-    ).otherwise(F.array().cast("array<struct<c0:bigint,c1:bigint>>"))
-    cells = (
-        per_row.select("fid", "cell_level", "row", F.inline(merge_runs(F.concat("_runs", inside))))
-        .withColumn("_col", F.explode(F.sequence("c0", "c1")))
-        .select("fid", cell_id(F.col("_col"), F.col("row"), F.col("cell_level")).alias("_cell"))
-    )
-    covered = cells.groupBy("fid").agg(F.array_sort(F.collect_set("_cell")).alias("fine_cells"))
-    covered = covered.withColumn(
-        "coarse_cells",
-        F.array_sort(F.array_distinct(F.transform("fine_cells", lambda c: parent_cell(c, levels)))),
-    )
-    return features.join(covered, "fid", "left")
-
-
-def truth_features(
-    features: DataFrame, matches: DataFrame, size: float, levels: int
-) -> tuple[DataFrame, DataFrame]:
-    """Ground-truth features per label with cells, and label counts.
+def truth_features(features: DataFrame, matches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ground-truth features per label, and label counts.
 
     ``features``: fid, id, field_name, value, geom_kind, geojson (type, coordinates);
     ``matches``: id, field_name, geo_value_vector, binary_value, matched_ratio.
-    Multi-geometries are broken into parts before counting.
+    Multi-geometries are broken into parts before counting. Their cells are made
+    by :func:`cartomark.operators.cover.compact_cover`.
     """
     parts = features.select(
         "*", F.posexplode(N.multi_parts(F.col("geojson"))).alias("part", "_g")
@@ -142,7 +57,7 @@ def truth_features(
         .agg(F.count("*").alias("count"))
         .withColumn("match_binary", F.lit(True))
     )
-    return ring_cells(labelled, size, levels), counts
+    return labelled, counts
 
 
 def performer_features(records: DataFrame, rasters: DataFrame, explode_rings: bool = False) -> DataFrame:

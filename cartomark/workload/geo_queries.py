@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cartomark.functions import geometry as G
 from cartomark.functions import nested as N
 from cartomark.functions import projection as P
-from cartomark.operators import raster, spatial
+from cartomark.operators import cover, raster, spatial
 from cartomark.plans import georef, prepare
 from cartomark.workload import logical as L
 from cartomark.workload.registry import query
@@ -86,8 +86,33 @@ def g05(spark: SparkSession, sf_dir: str) -> DataFrame:
 def g05_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     rings = G.geometry(F.lit("polygon"), F.array(G.box_ring(F.col("bbox"))))
     shapes = L.truths(spark, sf_dir).select("fid", rings.alias("geom"))
-    covered = prepare.ring_cells(shapes, L.CELL, L.COARSE_LEVELS)
-    return covered.select("fid", F.explode("fine_cells").alias("fine_cell"))
+    return cover.base_cells(cover.compact_cover(shapes, L.CELL)).withColumnRenamed("cell", "fine_cell")
+
+
+SLANTED_SQL = BOXES + f""",
+t AS (SELECT fid, x0 / {L.CELL}::DOUBLE AS a, y0 / {L.CELL}::DOUBLE AS b,
+        (x1 + CASE WHEN (x0 // 100 + y0) % 97 = 0 THEN 40000 ELSE 300 END) / {L.CELL}::DOUBLE AS c,
+        (y1 + CASE WHEN (x0 // 100 + y0) % 97 = 0 THEN 30000 ELSE 500 END) / {L.CELL}::DOUBLE AS d FROM truth),
+r AS (SELECT *, unnest(range(floor(b)::BIGINT, floor(d)::BIGINT + 1)) AS "row" FROM t)
+SELECT fid, sum(floor(greatest(a, c + (greatest(b, "row"::DOUBLE) - b) * (a - c) / (d - b)))::BIGINT - floor(a)::BIGINT + 1)::BIGINT AS n_cells, true AS is_compact
+FROM r GROUP BY fid
+"""
+
+
+@query("g05_slanted_compact_cover", SLANTED_SQL)
+def g05_slanted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Right triangles, one in a hundred as wide as a map: base cells held, in rows that grow with the outline."""
+    grown = F.expr("(x0 div 100 + y0) % 97 = 0")
+    rows = L.truths(spark, sf_dir).withColumns(
+        {"x1": F.col("x1") + F.when(grown, 40000).otherwise(300), "y1": F.col("y1") + F.when(grown, 30000).otherwise(500)}
+    )
+    x0, y0, x1, y1 = (F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1"))
+    ring = F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in ((x0, y0), (x1, y0), (x0, y1), (x0, y0))])
+    shapes = rows.select("fid", G.geometry(F.lit("polygon"), F.array(ring)).alias("geom"), ((x1 - x0 + y1 - y0) / L.CELL).alias("outline"))
+    cells = cover.compact_cover(shapes, L.CELL).groupBy("fid").agg(
+        F.sum(F.pow(F.lit(4), F.col("level"))).cast("bigint").alias("n_cells"), F.count(F.lit(1)).alias("n_rows")
+    )
+    return cells.join(shapes.select("fid", "outline"), "fid").select("fid", "n_cells", (F.col("n_rows") <= 12 * F.col("outline") + 24).alias("is_compact"))
 
 
 @query(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartomark.functions import geometry as G
+from cartomark.operators import cover
 from cartomark.plans import evaluate, georef, inventory, labels, prepare
 from cartomark.sources import writers
 from cartomark.streaming import arrivals
@@ -210,8 +211,9 @@ def c07(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", F.lit("label").alias("field_name"), F.concat("geo_value", F.lit("-")).alias("geo_value_vector"),
         F.col("geo_value").alias("binary_value"), F.lit(1.0).alias("matched_ratio"),
     ).distinct()
-    rows, counts = prepare.truth_features(features, found, L.CELL, L.COARSE_LEVELS)
-    cells = rows.groupBy("id", "geo_value").agg(F.sum(F.size("fine_cells")).alias("n_cells"))
+    rows, counts = prepare.truth_features(features, found)
+    held = cover.compact_cover(rows, L.CELL).groupBy("fid").agg(F.sum(F.pow(F.lit(4), F.col("level"))).cast("bigint").alias("n"))
+    cells = rows.select("id", "geo_value", "fid").join(held, "fid").groupBy("id", "geo_value").agg(F.sum("n").alias("n_cells"))
     return counts.select("id", "geo_value", "count").join(cells, ["id", "geo_value"])
 
 

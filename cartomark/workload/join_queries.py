@@ -108,9 +108,11 @@ def j08(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("id", "geo_value", "p_fid", "g_fid")
 
 
-WIDE_SQL = L.with_sql(L.BOXES_SQL) + f""",
+WIDE_BOXES_SQL = L.with_sql(L.BOXES_SQL) + """,
 wide AS (SELECT * REPLACE (x1 + CASE WHEN (x0 // 100 + y0) % 97 = 0 THEN 40000 ELSE 0 END AS x1,
-                           y1 + CASE WHEN (x0 // 100 + y0) % 97 = 0 THEN 30000 ELSE 0 END AS y1) FROM boxes),
+                           y1 + CASE WHEN (x0 // 100 + y0) % 97 = 0 THEN 30000 ELSE 0 END AS y1) FROM boxes)
+"""
+WIDE_SQL = WIDE_BOXES_SQL + f""",
 met AS (SELECT p.fid AS p_fid, p.x0 <= g.x1 AND g.x0 <= p.x1 AND p.y0 <= g.y1 AND g.y0 <= p.y1 AS hit
   FROM wide p JOIN wide g ON p.id = g.id AND p.geo_value = g.geo_value AND p.line <> 2 AND g.line = 2
    AND p.x0 // {L.CELL} <= g.x1 // {L.CELL} AND g.x0 // {L.CELL} <= p.x1 // {L.CELL}
@@ -119,17 +121,33 @@ SELECT p_fid, count(*) AS candidates, count(*) FILTER (hit) AS hits FROM met GRO
 """
 
 
-@query("j08_wide_boxes", WIDE_SQL)
-def j08_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidates where one box in a hundred spans hundreds of cells."""
+def wide_sides(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Predicted and truth boxes, one in a hundred of them as wide as a map."""
     grown = F.expr("(x0 div 100 + y0) % 97 = 0")
     wide = L.boxes(spark, sf_dir).withColumns(
         {"x1": F.col("x1") + F.when(grown, 40000).otherwise(0), "y1": F.col("y1") + F.when(grown, 30000).otherwise(0)}
     )
     sides = L.with_bbox(wide).select("id", "geo_value", "fid", "bbox", "line")
-    pairs = spatial.spatial_pairs(
-        sides.where("line <> 2").drop("line"), sides.where("line = 2").drop("line"), ["id", "geo_value"], L.CELL
-    )
+    return [sides.where("line <> 2").drop("line"), sides.where("line = 2").drop("line")]
+
+
+@query(
+    "j07_wide_prefilter",
+    WIDE_BOXES_SQL + f"""SELECT a.line = 2 AS is_truth, a.id, a.fid FROM wide a WHERE EXISTS (
+      SELECT 1 FROM wide b WHERE a.id = b.id AND a.geo_value = b.geo_value AND (a.line = 2) <> (b.line = 2)
+       AND a.x0 // {L.CELL} <= b.x1 // {L.CELL} AND b.x0 // {L.CELL} <= a.x1 // {L.CELL}
+       AND a.y0 // {L.CELL} <= b.y1 // {L.CELL} AND b.y0 // {L.CELL} <= a.y1 // {L.CELL})""",
+)
+def j07_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = spatial.box_prefilter(*wide_sides(spark, sf_dir), ["id", "geo_value"], L.CELL)
+    perf, truth = (side.select(F.lit(is_truth).alias("is_truth"), "id", "fid") for side, is_truth in zip(kept, (False, True), strict=True))
+    return perf.unionByName(truth)
+
+
+@query("j08_wide_boxes", WIDE_SQL)
+def j08_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates where one box in a hundred spans hundreds of cells."""
+    pairs = spatial.spatial_pairs(*wide_sides(spark, sf_dir), ["id", "geo_value"], L.CELL)
     hit = G.boxes_intersect(F.col("p_bbox"), F.col("g_bbox"))
     return pairs.groupBy("p_fid").agg(F.count("*").alias("candidates"), F.count_if(hit).alias("hits"))
 

@@ -45,7 +45,7 @@ def test_truth_tables(truth):
         ("Quarry", labels.NOT_IN_TRUTH), ("Odd", labels.NOT_IN_DICTIONARY),
     }
     assert truth["success"].first().success_rate == 0.6
-    assert truth["truth"].where("size(fine_cells) = 0").count() == 0
+    assert truth["truth"].join(truth["cover"], "fid", "left_anti").count() == 0
 
 
 def maps(spark):

@@ -5,6 +5,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
 
 from cartomark import schemas
 from cartomark.functions import nested as N
+from cartomark.operators import cover
 from cartomark.plans import prepare
 from cartomark.sources import manifest, readers, writers
 from helpers import plan_of
@@ -216,11 +217,11 @@ def test_ring_cells_follow_the_shape(spark):
     ring = [[0.0, 0.0], [100.0, 0.0], [0.0, 100.0], [0.0, 0.0]]
     df = spark.createDataFrame([("t", [ring])], "fid string, c array<array<array<double>>>")
     df = df.select("fid", G.geometry_from_pairs("polygon", F.col("c")).alias("geom"))
-    row = prepare.ring_cells(df, 10.0, 2).first()
+    cells = cover.compact_cover(df, 10.0)
     # Cells of a right triangle of 10 x 10 cells: those below or on the diagonal.
     below = sum(1 for c in range(11) for r in range(11) if c * 10 + r * 10 <= 100)
-    assert len(row.fine_cells) == below
-    assert len(row.coarse_cells) < len(row.fine_cells)
+    assert cover.base_cells(cells).distinct().count() == below == cover.base_cells(cells).count()
+    assert cells.count() < below
 
 
 def test_reprojection_of_vertices(spark):

@@ -5,8 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartomark.functions import geometry as G
-from cartomark.operators import spatial
-from cartomark.plans import evaluate, prepare
+from cartomark.operators import cover, spatial
+from cartomark.plans import evaluate
 from helpers import boxes, plan_of, random_boxes
 
 KEYS = ["id", "geo_value"]
@@ -189,16 +189,18 @@ def test_small_features_inside_a_large_one_are_kept(spark):
     def side(rows):
         df = spark.createDataFrame(rows, "id int, fid string, c array<array<array<double>>>")
         geom = df.withColumn("geom", G.geometry_from_pairs("polygon", F.col("c"))).drop("c")
-        return prepare.ring_cells(geom, 1.0, 2)
+        return geom, cover.compact_cover(geom, 1.0).join(geom.select("id", "fid"), "fid")
 
     def ring(x, y, w):
         return [[[x, y], [x + w, y], [x + w, y + w], [x, y + w], [x, y]]]
 
     perf = side([(1, "inside", ring(-300.5, 40.2, 3.0)), (1, "outside", ring(3000.0, 3000.0, 3.0)), (1, "near small", ring(5000.0, 0.0, 2.0)), (2, "other map", ring(0.0, 0.0, 3.0))])
     truth = side([(1, "large", ring(-1000.3, -1000.3, 2000.0)), (1, "small", ring(5003.2, 0.0, 2.0)), (1, "far", ring(-7000.0, 0.0, 2.0))])
-    assert truth.where("fid = 'large'").first().cell_level > 0
-    kept_perf, kept_truth = spatial.cell_prefilter(perf, truth, ["id"])
+    large = truth[1].where("fid = 'large'")
+    assert large.count() < 40_000 < large.agg(F.sum(F.pow(F.lit(4), F.col("level")))).first()[0]
+    kept_perf, kept_truth = cover.cover_prefilter(perf[0], truth[0], perf[1], truth[1], ["id"])
     assert {r.fid for r in kept_perf.collect()} == {"inside"}
     assert {r.fid for r in kept_truth.collect()} == {"large"}
-    index = spatial.cell_index_table(truth.unionByName(perf), ["id"])
-    assert "cell_level" in index.columns
+    index = cover.cover_index(truth[1].unionByName(perf[1]), ["id"], page_rows=1)
+    refs = index.agg(F.sum(F.size("refs"))).first()[0]
+    assert refs == truth[1].count() + perf[1].count()
