@@ -141,32 +141,3 @@ def test_odd_documents(odd_docs, no_docs):
     of = {r["doc_id"]: r["component_id"] for r in got if r["doc_id"]}
     assert of[2] == of[3] == of[4] == 2 and of[1] == 1 and of[5] == 5
     assert S.near_duplicates(no_docs).count() == 0
-
-
-def test_similar_texts_are_linked_as_brute_force_says(spark):
-    rng = random.Random(7)
-    rows = []
-    for _ in range(8):
-        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([6, 60, 200]))]
-        for _ in range(9):
-            copy = list(words)
-            for k in range(rng.randrange(1 + len(copy) // 40)):
-                copy[rng.randrange(len(copy))] = f"x{rng.randrange(10**6)}"
-            rows.append((len(rows), " ".join(copy[: len(copy) - rng.randrange(2)])))
-    sets = {d: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for d, w in ((d, t.split()) for d, t in rows)}
-    parent = {d: d for d in sets}
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for a, b in itertools.combinations(sets, 2):
-        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-            parent[max(find(a), find(b))] = min(find(a), find(b))
-    docs = S.with_node(spark.createDataFrame(rows, "doc_id long, text string"))
-    narrow = {r["component_id"] for r in S.near_duplicates(docs.drop("_node")).collect()}
-    assert len(narrow) > len({find(d) for d in sets})
-    # A single link a round and small tiles leave work to later rounds.
-    got = S.similar_nodes(docs, radius=0, first=1, tile=8).groupBy("component").agg({"leader": "min"}).collect()
-    assert {r[1] for r in got} == {find(d) for d in sets}
