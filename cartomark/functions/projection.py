@@ -131,6 +131,21 @@ def utm_to_wgs84(x: Column, y: Column, code: Column) -> Column:
     return F.struct(lon.alias("x"), F.degrees(lat).alias("y"))
 
 
+def is_known_system(code: Column) -> Column:
+    """Whether :func:`between_systems` knows an integer EPSG code: WGS-84 degrees or a UTM zone on it."""
+    return F.coalesce((code == 4326) | code.between(32601, 32660) | code.between(32701, 32760), F.lit(False))
+
+
+def between_systems(p: Column, source: Column, target: Column) -> Column:
+    """A point ``x, y`` moved between known systems, by way of WGS-84; unmoved where they are equal."""
+
+    plain = F.struct(p["x"].alias("x"), p["y"].alias("y"))
+    lonlat = F.when(source == 4326, plain).otherwise(utm_to_wgs84(p["x"], p["y"], source))
+    # A transform of one element names the position, so that its long expression stands once.
+    there = F.transform(F.array(lonlat), lambda q: F.when(target == 4326, q).otherwise(wgs84_to_utm(q["y"], q["x"], target)))
+    return F.when(source == target, plain).otherwise(F.element_at(there, 1))
+
+
 def unit_lookup(key: Column, by: str = "code", give: str = "metres") -> Column:
     """Look a unit up in the constant table by ``code`` or ``name``; null when absent."""
     at = {"code": 0, "name": 1, "metres": 2}

@@ -138,7 +138,15 @@ def evaluate_features(
     against every label of the map; files routed ``crude`` against truth of the
     same kind, for the kinds listed. Truth therefore takes part under its own
     label and under ``ANY_LABEL``; only the latter meets features without one.
+
+    Where both sides have ``epsg``, features are moved into the system of their
+    map's truth and the system is part of the match; the table ``crs_mismatches``
+    names the maps where that was not possible.
     """
+    systems = {}
+    if "epsg" in features.columns and "epsg" in truth.columns:
+        features = materialize(prepare.into_systems(features, truth.select("id", "epsg")), "moved-features")
+        systems = {"crs_mismatches": evaluate.crs_mismatches(features, truth)}
     files = orchestrate.file_orchestration(schema, truth_labels, synopsis)
     routed = features.join(files.select(*prepare.FILE_KEYS, "route"), prepare.FILE_KEYS)
     direct = F.col("route") == "direct"
@@ -151,7 +159,7 @@ def evaluate_features(
     under = truth.withColumn("match_label", F.explode(F.array("geo_value", F.lit(ANY_LABEL))))
     metrics = evaluate.evaluate_geometries(
         perf, under, rasters, cell, scales=scales, dynamic_buffer=dynamic_buffer,
-        match=("id", "feature_type", "match_label"),
+        match=("id", "feature_type", "match_label", *(["epsg"] if systems else [])),
     )
     route = files.select("id", "feature_type", *evaluate.SYSTEM, "route")
     any_label = F.col("match_label") == ANY_LABEL
@@ -170,6 +178,7 @@ def evaluate_features(
         "label_work": orchestrate.label_orchestration(schema, truth_labels, synopsis),
         "metrics": metrics,
         "unmatched_features": evaluate.unmatched_features(routed, metrics),
+        **systems,
     }
 
 

@@ -27,6 +27,65 @@ def reproject(geom: Column, code: Column, to_utm: bool) -> Column:
     return G.geometry(geom["kind"], F.transform(geom["rings"], lambda ring: F.transform(ring, move)))
 
 
+#: Parts that one edge is cut into at most.
+MAX_PARTS = 4096
+
+
+def reproject_edges(geom: Column, source: Column, target: Column, tolerance: float | Column) -> Column:
+    """A geometry moved between systems, with vertices inserted where straight edges would bend.
+
+    An edge whose middle lands ``d`` away from the middle of its moved ends is cut
+    into ``sqrt(d / tolerance)`` parts, rounded up, as the deviation falls with the square of
+    their number; ``tolerance`` is in units of the target. Edges stay whole between equal systems.
+    """
+
+    def move(points: Column) -> Column:
+        return F.transform(points, lambda p: P.between_systems(p, source, target))
+
+    def along(e: Column, t: Column) -> Column:
+        a, b = e["a"], e["b"]
+        return F.struct((a["x"] + (b["x"] - a["x"]) * t).alias("x"), (a["y"] + (b["y"] - a["y"]) * t).alias("y"))
+
+    def parts(u: Column, m: Column, v: Column) -> Column:
+        dx, dy = m["x"] - (u["x"] + v["x"]) / 2, m["y"] - (u["y"] + v["y"]) / 2
+        n = F.ceil(F.sqrt(F.sqrt(dx * dx + dy * dy) / tolerance)).cast("int")
+        return F.greatest(F.lit(1), F.least(F.lit(MAX_PARTS), n))
+
+    def cut(ring: Column) -> Column:
+        """The ring with all vertices that it needs, still in the source system."""
+        first = F.slice(ring, F.lit(1), F.size(ring) - 1)
+        edges = F.zip_with(first, F.slice(ring, F.lit(2), F.size(ring) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        probes = move(F.flatten(F.transform(edges, lambda e: F.array(*[along(e, F.lit(t)) for t in (0.0, 0.5, 1.0)]))))
+        counts = F.transform(F.array(probes), lambda m: F.transform(edges, lambda _, i: parts(m[i * 3], m[i * 3 + 1], m[i * 3 + 2])))
+        counted = F.zip_with(edges, F.element_at(counts, 1), lambda e, n: F.struct(e["a"].alias("a"), e["b"].alias("b"), n.alias("n")))
+        inner = F.transform(counted, lambda e: F.transform(F.sequence(F.lit(0), e["n"] - 1), lambda k: along(e, k / e["n"])))
+        return F.concat(F.flatten(inner), F.slice(ring, F.lit(-1), F.lit(1)))
+
+    whole = (geom["kind"] == "point") | (source == target)
+    rings = F.transform(geom["rings"], lambda ring: F.when(whole | (F.size(ring) < 2), ring).otherwise(cut(ring)))
+    return G.geometry(geom["kind"], F.transform(rings, move))
+
+
+#: Deviation allowed for a moved edge: metres, and degrees of about as much.
+METRES, DEGREES = 0.1, 1e-6
+
+
+def into_systems(features: DataFrame, systems: DataFrame) -> DataFrame:
+    """Features with ``epsg`` moved into the system that ``systems`` (id, epsg) has for their map.
+
+    Geometry, box and ``epsg`` follow. Features of a map or a system that is not
+    known stay as they are, so that a comparison can report them.
+    """
+    wanted = systems.groupBy("id").agg(F.min("epsg").alias("_epsg"))
+    source, target = P.epsg_code(F.col("epsg")), P.epsg_code(F.col("_epsg"))
+    goes = F.coalesce(P.is_known_system(source) & P.is_known_system(target) & (source != target), F.lit(False))
+    moved = reproject_edges(F.col("geom"), source, target, F.when(target == 4326, DEGREES).otherwise(METRES))
+    rows = features.join(wanted, "id", "left").withColumn("_goes", goes)
+    rows = rows.withColumn("geom", F.when(F.col("_goes"), moved).otherwise(F.col("geom")))
+    rows = rows.withColumns({"epsg": F.when(F.col("_goes"), F.col("_epsg")).otherwise(F.col("epsg")), "bbox": F.when(F.col("_goes"), G.geometry_box(F.col("geom"))).otherwise(F.col("bbox"))})
+    return rows.select(*features.columns)
+
+
 def truth_features(features: DataFrame, matches: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Ground-truth features per label, and label counts.
 
