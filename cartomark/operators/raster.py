@@ -65,18 +65,13 @@ def _rows_between(low: Column, high: Column, height: str | None) -> Column:
     return F.when(low <= high, F.sequence(low, high))
 
 
-def outline_runs(
-    features: DataFrame, carry: Sequence[str] = (), geom: str = "px_geom", height: str | None = None
-) -> DataFrame:
-    """Runs of polygons (filled), lines and points given in whole-pixel coordinates.
+def edge_rows(features: DataFrame, keep: Sequence[str], geom: str, height: str | None = None) -> DataFrame:
+    """``keep, row, _run, _x``: each edge cut by image row, before any grouping.
 
-    The outline takes the pixel nearest to it on every step of its major axis;
-    a polygon adds the pixels inside by the even-odd rule over all its rings.
-    Each edge is cut into one row per image row it crosses before any grouping,
-    so a large outline spreads over many tasks. Given the image ``height`` (a
-    carried column), rows outside it are never unfolded.
+    ``_run`` has the outline's pixels in that row (none where ``c0 > c1``) and
+    ``_x`` the place where a polygon's edge crosses it, if it does. Given the image
+    ``height`` (a column), rows outside it are never unfolded.
     """
-    keep = ["fid", *carry]
     is_polygon = F.col(geom)["kind"] == "polygon"
     segments = F.when(
         F.col(geom)["kind"] == "point",
@@ -112,8 +107,23 @@ def outline_runs(
         .otherwise(_run(shallow_from, shallow_to))
     )
     crosses = F.col("_fill") & ~flat & (y >= low_y) & (y < high_y)
+    return rows.select(*keep, "row", run.alias("_run"), F.when(crosses, _crossing_x(y)).alias("_x"))
+
+
+def outline_runs(
+    features: DataFrame, carry: Sequence[str] = (), geom: str = "px_geom", height: str | None = None
+) -> DataFrame:
+    """Runs of polygons (filled), lines and points given in whole-pixel coordinates.
+
+    The outline takes the pixel nearest to it on every step of its major axis;
+    a polygon adds the pixels inside by the even-odd rule over all its rings.
+    Each edge is cut into one row per image row it crosses before any grouping,
+    so a large outline spreads over many tasks. Given the image ``height`` (a
+    carried column), rows outside it are never unfolded.
+    """
+    keep = ["fid", *carry]
     per_row = (
-        rows.select(*keep, "row", run.alias("_run"), F.when(crosses, _crossing_x(y)).alias("_x"))
+        edge_rows(features, keep, geom, height)
         .groupBy(*keep, "row")
         .agg(F.collect_list("_run").alias("_edges"), F.collect_list("_x").alias("_xs"))
     )
@@ -251,11 +261,17 @@ def pixel_scores(
     pairs: DataFrame, perf_runs: DataFrame, truth_runs: DataFrame
 ) -> DataFrame:
     """Precision, recall and F1 of each pair's pixel sets, with the outcome message."""
-    tp = pixel_overlap(pairs, perf_runs, truth_runs)
-    p_size = run_sizes(perf_runs).select(F.col("fid").alias("p_fid"), F.col("pixels").alias("_lp"))
-    g_size = run_sizes(truth_runs).select(F.col("fid").alias("g_fid"), F.col("pixels").alias("_lg"))
+    return overlap_scores(
+        pairs, pixel_overlap(pairs, perf_runs, truth_runs), run_sizes(perf_runs), run_sizes(truth_runs)
+    )
+
+
+def overlap_scores(pairs: DataFrame, shared: DataFrame, perf_sizes: DataFrame, truth_sizes: DataFrame) -> DataFrame:
+    """The same from counts: ``true_positives`` per pair, ``pixels`` per feature."""
+    p_size = perf_sizes.select(F.col("fid").alias("p_fid"), F.col("pixels").alias("_lp"))
+    g_size = truth_sizes.select(F.col("fid").alias("g_fid"), F.col("pixels").alias("_lg"))
     wide = (
-        pairs.join(tp, ["p_fid", "g_fid"], "left")
+        pairs.join(shared, ["p_fid", "g_fid"], "left")
         .join(p_size, "p_fid", "left")
         .join(g_size, "g_fid", "left")
         .withColumns(
