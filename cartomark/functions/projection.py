@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -102,33 +103,61 @@ def _series(coefs: tuple[float, ...], term) -> Column:
     return total
 
 
-def wgs84_to_utm(lat: Column, lon: Column, code: Column) -> Column:
+def _inline(value: Column, use: Callable[[Column], Column]) -> Column:
+    return use(value)
+
+
+def _named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once; for lambdas, where repeats are not found by themselves."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def wgs84_to_utm(lat: Column, lon: Column, code: Column, let: Callable = _inline) -> Column:
     """Easting and northing in the UTM zone of an integer EPSG code."""
     sin_lat = F.sin(F.radians(lat))
     lam = F.radians(lon - _central_meridian(code))
     t = F.sinh(F.atanh(sin_lat) - F.lit(_ECC) * F.atanh(F.lit(_ECC) * sin_lat))
-    xi = F.atan2(t, F.cos(lam))
-    eta = F.atanh(F.sin(lam) / F.sqrt(t * t + 1.0))
-    east = eta + _series(_ALPHA, lambda k: F.cos(xi * k) * F.sinh(eta * k))
-    north = xi + _series(_ALPHA, lambda k: F.sin(xi * k) * F.cosh(eta * k))
     false_north = F.when(_is_south(code), F.lit(_FALSE_NORTHING_SOUTH)).otherwise(F.lit(0.0))
-    return F.struct(
-        (F.lit(_FALSE_EASTING) + F.lit(_SCALE * _RECTIFYING) * east).alias("x"),
-        (false_north + F.lit(_SCALE * _RECTIFYING) * north).alias("y"),
-    )
 
+    def on_sphere(s: Column) -> Column:
+        xi = F.atan2(s["t"], F.cos(s["lam"]))
+        eta = F.atanh(F.sin(s["lam"]) / F.sqrt(s["t"] * s["t"] + 1.0))
+        return let(F.struct(xi.alias("xi"), eta.alias("eta")), on_grid)
+
+    def on_grid(s: Column) -> Column:
+        xi, eta = s["xi"], s["eta"]
+        east = eta + _series(_ALPHA, lambda k: F.cos(xi * k) * F.sinh(eta * k))
+        north = xi + _series(_ALPHA, lambda k: F.sin(xi * k) * F.cosh(eta * k))
+        return F.struct(
+            (F.lit(_FALSE_EASTING) + F.lit(_SCALE * _RECTIFYING) * east).alias("x"),
+            (false_north + F.lit(_SCALE * _RECTIFYING) * north).alias("y"),
+        )
 
-def utm_to_wgs84(x: Column, y: Column, code: Column) -> Column:
+    return let(F.struct(t.alias("t"), lam.alias("lam")), on_sphere)
+
+
+def utm_to_wgs84(x: Column, y: Column, code: Column, let: Callable = _inline) -> Column:
     """Longitude (x) and latitude (y) in degrees from UTM easting and northing."""
     false_north = F.when(_is_south(code), F.lit(_FALSE_NORTHING_SOUTH)).otherwise(F.lit(0.0))
     xi = (y - false_north) / F.lit(_SCALE * _RECTIFYING)
     eta = (x - F.lit(_FALSE_EASTING)) / F.lit(_SCALE * _RECTIFYING)
-    xi1 = xi - _series(_BETA, lambda k: F.sin(xi * k) * F.cosh(eta * k))
-    eta1 = eta - _series(_BETA, lambda k: F.cos(xi * k) * F.sinh(eta * k))
-    chi = F.asin(F.sin(xi1) / F.cosh(eta1))
-    lat = chi + _series(_DELTA, lambda k: F.sin(chi * k))
-    lon = _central_meridian(code) + F.degrees(F.atan2(F.sinh(eta1), F.cos(xi1)))
-    return F.struct(lon.alias("x"), F.degrees(lat).alias("y"))
+
+    def on_sphere(s: Column) -> Column:
+        xi, eta = s["xi"], s["eta"]
+        xi1 = xi - _series(_BETA, lambda k: F.sin(xi * k) * F.cosh(eta * k))
+        eta1 = eta - _series(_BETA, lambda k: F.cos(xi * k) * F.sinh(eta * k))
+        return let(F.struct(xi1.alias("xi1"), eta1.alias("eta1")), conformal)
+
+    def conformal(s: Column) -> Column:
+        chi = F.asin(F.sin(s["xi1"]) / F.cosh(s["eta1"]))
+        lon = _central_meridian(code) + F.degrees(F.atan2(F.sinh(s["eta1"]), F.cos(s["xi1"])))
+        return let(F.struct(chi.alias("chi"), lon.alias("lon")), degrees)
+
+    def degrees(s: Column) -> Column:
+        lat = s["chi"] + _series(_DELTA, lambda k: F.sin(s["chi"] * k))
+        return F.struct(s["lon"].alias("x"), F.degrees(lat).alias("y"))
+
+    return let(F.struct(xi.alias("xi"), eta.alias("eta")), on_sphere)
 
 
 def is_known_system(code: Column) -> Column:
@@ -140,9 +169,9 @@ def between_systems(p: Column, source: Column, target: Column) -> Column:
     """A point ``x, y`` moved between known systems, by way of WGS-84; unmoved where they are equal."""
 
     plain = F.struct(p["x"].alias("x"), p["y"].alias("y"))
-    lonlat = F.when(source == 4326, plain).otherwise(utm_to_wgs84(p["x"], p["y"], source))
+    lonlat = F.when(source == 4326, plain).otherwise(utm_to_wgs84(p["x"], p["y"], source, _named))
     # A transform of one element names the position, so that its long expression stands once.
-    there = F.transform(F.array(lonlat), lambda q: F.when(target == 4326, q).otherwise(wgs84_to_utm(q["y"], q["x"], target)))
+    there = F.transform(F.array(lonlat), lambda q: F.when(target == 4326, q).otherwise(wgs84_to_utm(q["y"], q["x"], target, _named)))
     return F.when(source == target, plain).otherwise(F.element_at(there, 1))
 
 
