@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cartomark.functions import geometry as G
 from cartomark.functions.geometry import USE_SPATIAL_INDEX
+from cartomark.operators import blocks as B
 from cartomark.operators import raster as R
 from cartomark.operators.spatial import score_boxes, spatial_pairs
 from cartomark.session import materialize
@@ -190,6 +191,21 @@ def to_pixels(features: DataFrame, rasters: DataFrame) -> DataFrame:
     )
 
 
+def shape_key(geom: Column) -> Column:
+    """The key under which equal geometries are compared once: 128 bits of hash.
+
+    Hashes run over nested values without their borders and skip nulls, so ring
+    lengths are hashed too and an unknown coordinate counts as NaN.
+    """
+    nan = F.lit(float("nan"))
+    rings = F.transform(
+        geom["rings"],
+        lambda ring: F.transform(ring, lambda p: F.struct(F.coalesce(p["x"], nan).alias("x"), F.coalesce(p["y"], nan).alias("y"))),
+    )
+    parts = [geom["kind"], F.transform(geom["rings"], F.size), rings]
+    return F.struct(F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(1), *parts).alias("h2"))
+
+
 def evaluate_geometries(
     perf: DataFrame,
     truth: DataFrame,
@@ -224,13 +240,15 @@ def evaluate_geometries(
         )
 
     def shaped(side: DataFrame) -> DataFrame:
-        # The digest of the geometry is the key under which copies are compared once.
-        return sized(side).withColumn("shape", F.md5(F.to_json("geom")))
+        return sized(side).withColumn("shape", shape_key(F.col("geom")))
 
     perf, truth = shaped(perf), shaped(truth)
     shape_cols = [*match, "shape", "geom", "_radius"]
-    shapes_p = perf.select(*shape_cols).distinct()
-    shapes_g = truth.groupBy(*shape_cols).agg(F.min("fid").alias("fid"), F.count("*").alias("copies"))
+    # Read for the candidates and again for their pixels.
+    shapes_p = materialize(perf.select(*shape_cols).distinct(), "shapes")
+    shapes_g = materialize(
+        truth.groupBy(*shape_cols).agg(F.min("fid").alias("fid"), F.count("*").alias("copies")), "shapes"
+    )
 
     def boxed(shapes: DataFrame) -> DataFrame:
         grown = G.grown_box(G.geometry_box(F.col("geom")), F.col("_radius"))
@@ -243,26 +261,27 @@ def evaluate_geometries(
     # pixel join twice, and the candidate counts.
     pairs = materialize(pairs, "candidate-pairs")
 
-    # A shape is rasterised on the image of its map, hence once per map.
-    image = F.concat_ws("@", F.col("id").cast("string"), F.col("_shape"))
-
-    def runs(shapes: DataFrame, shape: str) -> DataFrame:
-        used = pairs.where("_meets").select("id", F.col(shape).alias("shape")).distinct()
-        once = shapes.select("id", "shape", "geom", "_radius").join(used, ["id", "shape"], "left_semi").distinct()
-        px = to_pixels(once.withColumnRenamed("shape", "_shape"), rasters).withColumns(
-            {"fid": image, "_px_radius": F.col("_radius") / F.col("px_width")}
-        )
-        carry = ["width", "height"]
-        found = R.outline_runs(px.where("_radius = 0"), carry, height="height")
-        if scales is not None:
-            found = found.unionByName(R.buffer_runs(px.where("_radius > 0"), "_px_radius", carry, height="height"))
-        return R.clip_runs(found, F.col("width"), F.col("height")).drop(*carry)
+    # A shape is rasterised on the image of its map, hence once per map, whichever side it is on.
+    image = F.struct("id", "_shape")
+    used = pairs.where("_meets").select("id", F.explode(F.array("p_shape", "g_shape")).alias("shape")).distinct()
+    drawn = ["id", "shape", "geom", "_radius"]
+    once = shapes_p.select(*drawn).unionByName(shapes_g.select(*drawn)).join(used, ["id", "shape"], "left_semi").distinct()
+    px = to_pixels(once.withColumnRenamed("shape", "_shape"), rasters).withColumns(
+        {"fid": image, "_px_radius": F.col("_radius") / F.col("px_width")}
+    )
+    blocks = B.outline_blocks(px.where("_radius = 0"), width="width", height="height")
+    if scales is not None:
+        grown = R.buffer_runs(px.where("_radius > 0"), "_px_radius", ["width", "height"], height="height")
+        grown = R.clip_runs(grown, F.col("width"), F.col("height"))
+        blocks = blocks.unionByName(B.run_blocks(grown.drop("width", "height")))
+    # Read by the overlap and by the sizes, for either side.
+    blocks = materialize(blocks, "pixel-blocks")
 
     def keyed(shape: str) -> Column:
-        return F.concat_ws("@", F.col("id").cast("string"), F.col(shape))
+        return F.struct("id", F.col(shape).alias("_shape"))
 
     meeting = pairs.where("_meets").select(keyed("p_shape").alias("p_fid"), keyed("g_shape").alias("g_fid")).distinct()
-    scored = R.pixel_scores(meeting, runs(shapes_p, "p_shape"), runs(shapes_g, "g_shape"))
+    scored = B.block_scores(meeting, blocks, blocks)
     tp = F.col("true_positives")
     union = (F.col("len_pdf") + F.col("len_gdf") - tp).cast("double")
     scored = scored.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartomark.operators import raster, spatial
+from cartomark.operators import blocks, raster, spatial
 from cartomark.plans import georef, labels, orchestrate, prepare, report
 from cartomark.functions import geometry as G
 from cartomark.functions import projection as P
@@ -171,6 +171,36 @@ def a08(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.pixel_scores(pairs, raster.box_runs(perf, L.PIXEL), raster.box_runs(truth, L.PIXEL))
 
 
+SLANTED_SQL = L.with_sql(L.BOXES_SQL, L.PAIRS_SQL) + f""", shapes AS (
+  SELECT fid, x0 // {L.PIXEL} AS a, y0 // {L.PIXEL} AS b, x1 // {L.PIXEL} AS c, y1 // {L.PIXEL} AS d FROM boxes),
+rows AS (SELECT fid, a, r, CASE WHEN d - b >= c - a THEN floor(c + (r - b) * ((a - c)::DOUBLE / (d - b)) + 0.5::DOUBLE)
+    ELSE floor(round(c + (greatest(r - 0.5::DOUBLE, b::DOUBLE) - b) * ((a - c)::DOUBLE / (d - b)), 9)) END::BIGINT AS e
+  FROM (SELECT *, unnest(range(b, d + 1)) AS r FROM shapes)),
+sizes AS (SELECT fid, sum(e - a + 1)::BIGINT AS n FROM rows GROUP BY fid),
+shared AS (SELECT p_fid, g_fid, sum(greatest(least(p.e, g.e) - greatest(p.a, g.a) + 1, 0))::BIGINT AS met
+  FROM pairs JOIN rows p ON p.fid = p_fid JOIN rows g ON g.fid = g_fid AND g.r = p.r WHERE hit GROUP BY ALL)
+SELECT p_fid, g_fid, coalesce(met, 0) AS true_positives, p.n AS len_pdf, g.n AS len_gdf, coalesce(2 * met, 0)::DOUBLE / (p.n + g.n) AS f1
+FROM pairs LEFT JOIN shared USING (p_fid, g_fid) JOIN sizes p ON p.fid = p_fid JOIN sizes g ON g.fid = g_fid WHERE hit"""
+
+
+@query("a08_slanted_overlap", SLANTED_SQL)
+def a08_slanted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Right triangles in whole pixels, met as blocks; the twin counts them row by row."""
+    perf, truth = L.performers(spark, sf_dir), L.truths(spark, sf_dir)
+    pairs = spatial.spatial_pairs(
+        perf.select("id", "geo_value", "fid", "bbox"), truth.select("id", "geo_value", "fid", "bbox"), ["id", "geo_value"],
+        L.CELL, condition=G.boxes_intersect(F.col("p_bbox"), F.col("g_bbox")),
+    ).select("p_fid", "g_fid")
+
+    def drawn(side: DataFrame) -> DataFrame:
+        x0, y0, x1, y1 = (F.floor(F.col(c) / L.PIXEL).cast("double") for c in ("x0", "y0", "x1", "y1"))
+        ring = F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in ((x0, y0), (x1, y0), (x0, y1), (x0, y0))])
+        return blocks.outline_blocks(side.select("fid", G.geometry(F.lit("polygon"), F.array(ring)).alias("px_geom")))
+
+    scores = blocks.block_scores(pairs, drawn(perf), drawn(truth))
+    return scores.select("p_fid", "g_fid", "true_positives", "len_pdf", "len_gdf", "f1")
+
+
 @query(
     "a09_missing_label_stats",
     ROUTE_SQL + """SELECT id, system, valid AS valid_synops, CASE WHEN valid THEN miss END AS num_missing,

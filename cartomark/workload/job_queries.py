@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cartomark.functions import geometry as G
 from cartomark.operators import cover
 from cartomark.plans import evaluate, georef, inventory, labels, prepare
+from cartomark.session import materialize
 from cartomark.sources import writers
 from cartomark.streaming import arrivals
 from cartomark.workload import logical as L
@@ -305,6 +306,67 @@ def c10_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Parts as boxes on 13 maps in UTM metres, no corner on the border of a 20-metre pixel or of a box of the other side; truth lies beside each.
+PLOTS_SQL = f"""WITH plots AS (
+  SELECT p_partkey AS fid, p_partkey % 13 AS id, p_brand AS geo_value, 400010 + 20 * (p_partkey * 7919 % 4000) AS x0, 4300010 + 20 * (p_size * 61 + p_partkey * 104729 % 700) AS y0,
+    200 + 20 * (p_size % 7) AS wide, 160 + 20 * (length(p_name) % 9) AS high FROM part),
+perf AS (SELECT fid, id, geo_value, 'sys_1' AS system, '1.0' AS system_version, x0, y0, x0 + wide AS x1, y0 + high AS y1 FROM plots WHERE id % 4 <> 3),
+truth AS (SELECT fid, id, geo_value, x0 + 45 AS x0, y0 + 65 AS y0, x0 + 45 + wide AS x1, y0 + 65 + high AS y1 FROM plots)
+"""
+
+
+def plots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Predictions, by map in UTM, in WGS-84 or in a system that cannot be moved, and truth in UTM."""
+    key, size = F.col("p_partkey"), F.col("p_size")
+    rows = L.table(spark, sf_dir, "part").select(
+        key.alias("fid"), (key % 13).alias("id"), F.col("p_brand").alias("geo_value"),
+        (key * 7919 % 4000 * 20 + 400_010).alias("x0"), ((size * 61 + key * 104_729 % 700) * 20 + 4_300_010).alias("y0"),
+        (size % 7 * 20 + 200).alias("wide"), (F.length("p_name") % 9 * 20 + 160).alias("high"),
+    )
+
+    def shaped(side: DataFrame) -> DataFrame:
+        b = G.box(F.col("x0"), F.col("y0"), F.col("x0") + F.col("wide"), F.col("y0") + F.col("high"))
+        return side.withColumn("bbox", b).withColumn("geom", G.geometry(F.lit("polygon"), F.array(G.box_ring(F.col("bbox")))))
+
+    kind = F.col("id") % 4
+    there = prepare.reproject_edges(F.col("geom"), F.lit(32612), F.lit(4326), prepare.DEGREES)
+    perf = shaped(rows).withColumns({"system": F.lit("sys_1"), "system_version": F.lit("1.0")})
+    perf = perf.withColumn("epsg", F.when(kind == 1, "epsg:4326").when(kind == 3, "epsg:3857").otherwise("epsg:32612"))
+    perf = perf.withColumn("geom", F.when(kind == 1, there).otherwise(F.col("geom"))).withColumn("bbox", G.geometry_box(F.col("geom")))
+    truth = shaped(rows.withColumns({"x0": F.col("x0") + 45, "y0": F.col("y0") + 65})).withColumn("epsg", F.lit("epsg:32612"))
+    return perf.drop("x0", "y0", "wide", "high"), truth.drop("x0", "y0", "wide", "high")
+
+
+@query(
+    "c10_mixed_systems",
+    PLOTS_SQL + "," + L.PAIRS_SQL + """, hits AS (SELECT *, (2 * tp * 100000 + len_pdf + len_gdf - tp) // (2 * (len_pdf + len_gdf - tp)) AS u FROM pairs WHERE tp > 0),
+best AS (SELECT *, row_number() OVER (PARTITION BY p_fid ORDER BY u DESC, CAST(2 * tp AS DOUBLE) / (len_pdf + len_gdf) DESC, g_fid) AS rn FROM hits WHERE hit)
+SELECT id, geo_value, p_fid, g_fid, u AS iou_units, tp AS true_positives, len_pdf, len_gdf FROM best WHERE rn = 1""",
+)
+def c10_mixed_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions in three systems against truth in one: those in WGS-84 must match as if they had never left UTM."""
+    perf, truth = plots(spark, sf_dir)
+    perf = materialize(prepare.into_systems(perf, truth), "moved-plots")
+    pixel = float(L.PIXEL)
+    # The image begins at 400,000 E, 4,300,000 N, row 0 in the south.
+    t = F.struct(*[F.lit(v).alias(k) for k, v in zip("abcdef", (pixel, 0.0, 400_000.0, 0.0, pixel, 4_300_000.0), strict=True)])
+    rasters = truth.select("id").distinct().select(
+        "id", t.alias("transform"), F.lit(10_000).alias("width"), F.lit(10_000).alias("height"), F.lit(0).cast("bigint").alias("total_pix")
+    )
+    rows = evaluate.evaluate_geometries(perf, truth, rasters, L.CELL, match=("id", "geo_value", "epsg"))
+    return rows.select("id", "geo_value", "p_fid", "g_fid", "iou_units", "true_positives", "len_pdf", "len_gdf")
+
+
+@query(
+    "c10_system_mismatches",
+    "SELECT p_partkey % 13 AS id, 'epsg:3857' AS perf_epsg, 'epsg:32612' AS grnd_epsg FROM part WHERE p_partkey % 13 % 4 = 3 GROUP BY ALL",
+)
+def c10_system_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maps whose predictions stay in a system other than the truth's."""
+    perf, truth = plots(spark, sf_dir)
+    return evaluate.crs_mismatches(prepare.into_systems(perf, truth), truth)
+
+
 @query("c10_point_evaluation")
 def c10_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as buffered points on one map, in 0.1-unit pixels."""
