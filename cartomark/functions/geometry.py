@@ -245,13 +245,104 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
 
 
-def geodesic_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, rounds: int = 30) -> Column:
-    """WGS-84 distance by Vincenty's inverse formula; null where it does not settle.
+def _arc_km(p: Column) -> Column:
+    """Length of a geodesic from its arc on the auxiliary sphere, by Vincenty's series."""
+    a, b = WGS84_A, WGS84_A * (1 - WGS84_F)
+    u = p["cos2_alpha"] * F.lit((a * a - b * b) / (b * b))
+    big_a = F.lit(1.0) + u / 16384.0 * (
+        F.lit(4096.0) + u * (F.lit(-768.0) + u * (F.lit(320.0) - u * 175.0))
+    )
+    big_b = u / 1024.0 * (
+        F.lit(256.0) + u * (F.lit(-128.0) + u * (F.lit(74.0) - u * 47.0))
+    )
+    delta = (
+        big_b
+        * p["sin_sigma"]
+        * (
+            p["mid"]
+            + big_b
+            / 4.0
+            * (
+                p["cos_sigma"] * (p["mid"] * p["mid"] * 2.0 - 1.0)
+                - big_b
+                / 6.0
+                * p["mid"]
+                * (p["sin_sigma"] * p["sin_sigma"] * 4.0 - 3.0)
+                * (p["mid"] * p["mid"] * 4.0 - 3.0)
+            )
+        )
+    )
+    return F.lit(b / 1000.0) * big_a * (p["sigma"] - delta)
+
 
-    The iteration is a fixed-length fold, so it stays one column expression.
+def _azimuth_km(s1: Column, c1: Column, s2: Column, c2: Column, length: Column, halvings: int = 60) -> Column:
+    """Distance of two points by halving the azimuth at one of them until the other's longitude is met.
+
+    Takes sines and cosines of the reduced latitudes and the difference of the longitudes
+    in radians. The points are mirrored and swapped first, so that the one further
+    from the equator is the start and lies south; the longitude then grows with the azimuth.
     """
-    a, f = WGS84_A, WGS84_F
-    b = a * (1 - f)
+    f = WGS84_F
+    swap = F.abs(s1) < F.abs(s2)
+    start_s, start_c = F.when(swap, s2).otherwise(s1), F.when(swap, c2).otherwise(c1)
+    end_s, end_c = F.when(swap, s1).otherwise(s2), F.when(swap, c1).otherwise(c2)
+    end_s = F.when(start_s > 0, -end_s).otherwise(end_s)
+    around = F.pmod(F.abs(length), F.lit(2 * math.pi))
+    fixed = {
+        # A start on the equator counts as just south of it.
+        "s1": F.least(-F.abs(start_s), F.lit(-1e-200)), "c1": start_c, "s2": end_s, "c2": end_c,
+        "len": F.least(around, F.lit(2 * math.pi) - around),
+    }
+    begin = F.struct(F.lit(0.0).alias("low"), F.lit(math.pi).alias("high"), *[v.alias(k) for k, v in fixed.items()])
+
+    def arc(z: Column) -> Column:
+        """The geodesic that leaves at the middle azimuth, up to the end's latitude."""
+        azimuth = (z["low"] + z["high"]) / 2.0
+        sin_alpha = F.sin(azimuth) * z["c1"]
+        north = F.cos(azimuth) * z["c1"]
+        end_north = F.sqrt(F.greatest(north * north + z["c2"] * z["c2"] - z["c1"] * z["c1"], F.lit(0.0)))
+        sigma = F.atan2(z["s2"], end_north) - F.atan2(z["s1"], north)
+        omega = F.atan2(sin_alpha * z["s2"], end_north) - F.atan2(sin_alpha * z["s1"], north)
+        cos2_alpha = F.lit(1.0) - sin_alpha * sin_alpha
+        mid = F.coalesce(F.cos(sigma) - F.try_divide(z["s1"] * z["s2"] * 2.0, cos2_alpha), F.lit(0.0))
+        named = {
+            "azimuth": azimuth, "sin_alpha": sin_alpha, "sigma": sigma, "omega": omega, "cos2_alpha": cos2_alpha,
+            "mid": mid, "sin_sigma": F.sin(sigma), "cos_sigma": F.cos(sigma),
+        }
+        return F.struct(*[v.alias(k) for k, v in named.items()])
+
+    def reached(p: Column) -> Column:
+        c = F.lit(f / 16.0) * p["cos2_alpha"] * (F.lit(4.0) + F.lit(f) * (F.lit(4.0) - p["cos2_alpha"] * 3.0))
+        bend = p["mid"] + c * p["cos_sigma"] * (p["mid"] * p["mid"] * 2.0 - 1.0)
+        return p["omega"] - (F.lit(1.0) - c) * F.lit(f) * p["sin_alpha"] * (p["sigma"] + c * p["sin_sigma"] * bend)
+
+    def halve(z: Column, _: Column) -> Column:
+        def side(p: Column) -> Column:
+            short = reached(p) < z["len"]
+            return F.struct(
+                F.when(short, p["azimuth"]).otherwise(z["low"]).alias("low"),
+                F.when(short, z["high"]).otherwise(p["azimuth"]).alias("high"),
+                *[z[k].alias(k) for k in fixed],
+            )
+
+        return F.element_at(F.transform(F.array(arc(z)), side), 1)
+
+    def measured(z: Column) -> Column:
+        return F.element_at(F.transform(F.array(arc(z)), _arc_km), 1)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(halvings)), begin, halve, measured)
+
+
+def geodesic_km(
+    lat1: Column, lon1: Column, lat2: Column, lon2: Column, rounds: int = 30, *, near_antipode: bool = False
+) -> Column:
+    """WGS-84 distance by Vincenty's inverse formula.
+
+    The iteration is a fixed-length fold, so it stays one column expression. Near the
+    antipode it does not settle; the distance is null there, or with ``near_antipode``
+    that of the azimuth that leads to the other point.
+    """
+    f = WGS84_F
     length = F.radians(lon2 - lon1)
     u1 = F.atan(F.lit(1 - f) * F.tan(F.radians(lat1)))
     u2 = F.atan(F.lit(1 - f) * F.tan(F.radians(lat2)))
@@ -317,35 +408,11 @@ def geodesic_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, rounds:
         return F.when(settled, s).otherwise(following)
 
     def distance(s: Column) -> Column:
-        def measure(p: Column) -> Column:
-            u = p["cos2_alpha"] * F.lit((a * a - b * b) / (b * b))
-            big_a = F.lit(1.0) + u / 16384.0 * (
-                F.lit(4096.0) + u * (F.lit(-768.0) + u * (F.lit(320.0) - u * 175.0))
-            )
-            big_b = u / 1024.0 * (
-                F.lit(256.0) + u * (F.lit(-128.0) + u * (F.lit(74.0) - u * 47.0))
-            )
-            delta = (
-                big_b
-                * p["sin_sigma"]
-                * (
-                    p["mid"]
-                    + big_b
-                    / 4.0
-                    * (
-                        p["cos_sigma"] * (p["mid"] * p["mid"] * 2.0 - 1.0)
-                        - big_b
-                        / 6.0
-                        * p["mid"]
-                        * (p["sin_sigma"] * p["sin_sigma"] * 4.0 - 3.0)
-                        * (p["mid"] * p["mid"] * 4.0 - 3.0)
-                    )
-                )
-            )
-            return F.lit(b / 1000.0) * big_a * (p["sigma"] - delta)
-
-        km = F.element_at(F.transform(F.array(as_struct(s)), measure), 1)
-        return F.when(s["step"] < 1e-9, km)
+        km = F.element_at(F.transform(F.array(as_struct(s)), _arc_km), 1)
+        settled = F.when(s["step"] < 1e-9, km)
+        if near_antipode:
+            return settled.otherwise(_azimuth_km(s["s1"], s["c1"], s["s2"], s["c2"], s["len"]))
+        return settled
 
     same = (lat1 == lat2) & (lon1 == lon2)
     folded = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, once, distance)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -153,7 +154,7 @@ def presence(gcps: DataFrame, systems: DataFrame) -> DataFrame:
 
 
 def distance_km(method: str):
-    return {"geodesic": G.geodesic_km, "haversine": G.haversine_km}[method]
+    return {"geodesic": functools.partial(G.geodesic_km, near_antipode=True), "haversine": G.haversine_km}[method]
 
 
 def evaluate_georeferencing(

@@ -247,6 +247,21 @@ def g12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latlon(spark, sf_dir).select("l_orderkey", "l_partkey", F.round(km, 6).alias("km"))
 
 
+@query(
+    "g12_antipodal_distance",
+    "SELECT c_custkey AS id, 20003.93146::DOUBLE AS km, true AS is_shorter FROM customer",
+)
+def g12_antipodal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer's place to its antipode, which is half a meridian away, and to a point a tenth of a degree beside it."""
+    key = F.col("c_custkey")
+    lat, lon = (key * 31 % 17_000) / 100.0 - 85.0, (key * 7919 % 36_000) / 100.0 - 180.0
+    places = L.table(spark, sf_dir, "customer").select(key.alias("id"), lat.alias("lat"), lon.alias("lon"))
+    lat, lon = F.col("lat"), F.col("lon")
+    far = G.geodesic_km(lat, lon, -lat, lon + 180.0, near_antipode=True)
+    beside = G.geodesic_km(lat, lon, -lat + 0.1, lon + 180.1, near_antipode=True)
+    return places.select("id", F.round(far, 5).alias("km"), ((beside < far) & (beside > far - 25)).alias("is_shorter"))
+
+
 @query("g12_geodesic_distance")
 def g12_geodesic(spark: SparkSession, sf_dir: str) -> DataFrame:
     lat, lon = F.col("lat"), F.col("lon")
