@@ -145,6 +145,21 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     )
 
 
+def exact_quantiles_of(df: DataFrame, keys: Sequence[str], values: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """:func:`exact_quantiles` of several columns in one pass, one array column named for each.
+
+    The column's name is one more key, so all columns share each exchange and a
+    group's work spreads further. A column without values in a group gives null;
+    a group without any gives no row.
+    """
+    named = [F.struct(F.lit(v).alias("_of"), F.col(v).cast("double").alias("_value")) for v in values]
+    stacked = df.select(*keys, F.inline(F.array(*named)))
+    found = exact_quantiles(stacked, [*keys, "_of"], "_value", probs)
+    return found.groupBy(*keys).agg(
+        *[F.any_value(F.when(F.col("_of") == v, F.col("quantiles")), True).alias(v) for v in values]
+    )
+
+
 def equal_frequency_bins(df: DataFrame, keys: Sequence[str], value: str, bins: int, out: str) -> DataFrame:
     """Quantile bin of each row within its group, repeated edges dropped.
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartomark.operators.balance import equal_frequency_bins, exact_quantiles
+from cartomark.operators.balance import equal_frequency_bins, exact_quantiles_of
 from cartomark.session import materialize
 
 PERFORMER = ["system", "system_version"]
@@ -47,7 +47,8 @@ def means_and_medians(
 
     Groups of one map or label take the built-in median in the same aggregation.
     ``spread`` is for groups as large as the table (a performer, a bin of one):
-    their medians are ranked over many tasks. Both give the same bits.
+    their medians are ranked over many tasks, all metrics in one pass. Both give
+    the same bits.
     """
     keys = list(keys)
     means = [
@@ -57,16 +58,13 @@ def means_and_medians(
         medians = [F.median(m).alias(f"{m}_median") for m in metrics]
         return rows.groupBy(*keys).agg(*extra, *means, *medians)
     out = rows.groupBy(*keys).agg(*extra, *means)
-    for m in metrics:
-        half = exact_quantiles(rows, keys, m, [0.5])
-        half = half.select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("quantiles")[0].alias(f"{m}_median")
-        )
-        same = F.lit(True)
-        for k in keys:
-            same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-        out = out.join(half, same, "left").drop(*[f"_k_{k}" for k in keys])
-    return out
+    halves = exact_quantiles_of(rows, keys, metrics, [0.5]).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(m)[0].alias(f"{m}_median") for m in metrics]
+    )
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return out.join(halves, same, "left").drop(*[f"_k_{k}" for k in keys])
 
 
 def label_rollup(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartomark.operators import balance
 from cartomark.plans import report
+from helpers import plan_of
 
 
 def sample(rng, n=400):
@@ -42,6 +43,24 @@ def test_quantiles_have_the_bits_of_the_built_in(spark):
     assert [x for x in got["a"] if x == x] == [x for x in want["a"] if x == x]
 
 
+def test_several_columns_take_one_pass(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", None]), rng.uniform(0, 1), rng.choice([None, float("nan"), float(rng.randrange(9))]), None) for _ in range(300)]
+    rows += [("none", None, float("nan"), None), ("half", None, 4.0, None)]
+    df = spark.createDataFrame(rows, "k string, u double, v double, w double").repartition(3)
+    probs = [0.25, 0.5]
+    many = balance.exact_quantiles_of(df, ["k"], ["u", "v", "w"], probs)
+    got = {r.k: r for r in many.collect()}
+    assert many.columns == ["k", "u", "v", "w"] and "none" not in got
+    assert got["half"].u is None and got["half"].v == [4.0, 4.0] and all(r.w is None for r in got.values())
+    for column in "uv":
+        alone = {r.k: r.quantiles for r in balance.exact_quantiles(df, ["k"], column, probs).collect()}
+        assert {k: r[column] for k, r in got.items() if r[column] is not None} == alone
+    fresh = balance.exact_quantiles_of(df, ["k"], ["u", "v", "w"], probs)
+    joins = plan_of(fresh).count("Join"), plan_of(balance.exact_quantiles(df, ["k"], "u", probs)).count("Join")
+    assert joins[0] == joins[1] > 0
+
+
 def test_bins_equal_qcut(spark):
     rows = sample(random.Random(2))
     df = spark.createDataFrame(rows, "i int, k string, v double")
