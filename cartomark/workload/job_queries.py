@@ -70,11 +70,11 @@ def c02(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "c02_missing_maps",
-    "SELECT count(DISTINCT o_custkey) AS found, 1500 - count(DISTINCT o_custkey) AS total_missing FROM orders WHERE o_orderstatus = 'F'",
+    "SELECT count(DISTINCT o_custkey) AS found, (SELECT count(*) FROM customer) - count(DISTINCT o_custkey) AS total_missing FROM orders WHERE o_orderstatus = 'F'",
 )
 def c02_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = map_files(spark, sf_dir).withColumnRenamed("owner", "id")
-    return inventory.missing_maps(inventory.inspect_maps(files), 1500)
+    return inventory.missing_maps(inventory.inspect_maps(files), L.table(spark, sf_dir, "customer").count())
 
 
 UPDATE_SQL = """WITH inv AS (SELECT c_custkey::VARCHAR AS id, bool_or(o_orderkey IS NOT NULL) AS in_dir, coalesce(bool_or(o_orderstatus = 'F'), false) AS has_tif
