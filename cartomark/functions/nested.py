@@ -10,13 +10,18 @@ from pyspark.sql.types import ArrayType, StructType
 
 from cartomark import schemas
 from cartomark.functions.text import abbreviation_or_id
+from cartomark.session import materialize
 
 _PAIRS = "array<array<double>>"
 
 
 def match_systems(records: DataFrame, systems: DataFrame) -> DataFrame:
-    """Records of the configured (system, version) pairs, none repeated."""
-    wanted = systems.select("system", "system_version").distinct()
+    """Records of the configured (system, version) pairs, none repeated.
+
+    The pairs are written, so that their size is known: a few of them go to the
+    records, which would otherwise all meet at the tasks of a few systems.
+    """
+    wanted = materialize(systems.select("system", "system_version").distinct(), "wanted-systems")
     return records.join(wanted, ["system", "system_version"], "left_semi")
 
 
