@@ -65,12 +65,30 @@ def _rows_between(low: Column, high: Column, height: str | None) -> Column:
     return F.when(low <= high, F.sequence(low, high))
 
 
-def edge_rows(features: DataFrame, keep: Sequence[str], geom: str, height: str | None = None) -> DataFrame:
+#: Image rows of a band, whose edges meet in one task.
+BAND_ROWS = 64
+
+
+def _in_bands(edges: DataFrame, keep: Sequence[str], height: str | None) -> DataFrame:
+    """Edges once per band of image rows they cross (``_band``), those of a feature's band together."""
+    low, high = _nearest(F.least("y1", "y2")), _nearest(F.greatest("y1", "y2"))
+    first, last = (F.floor(at / BAND_ROWS).cast("bigint") for at in (low, high))
+    if height is not None:
+        top = F.floor((F.col(height).cast("bigint") - 1) / BAND_ROWS).cast("bigint")
+        first, last = F.greatest(first, F.lit(0).cast("bigint")), F.least(last, top)
+    bands = F.when(first <= last, F.sequence(first, last))
+    return edges.withColumn("_band", F.explode(bands)).repartition(*keep, "_band")
+
+
+def edge_rows(
+    features: DataFrame, keep: Sequence[str], geom: str, height: str | None = None, together: bool = False
+) -> DataFrame:
     """``keep, row, _run, _x``: each edge cut by image row, before any grouping.
 
     ``_run`` has the outline's pixels in that row (none where ``c0 > c1``) and
     ``_x`` the place where a polygon's edge crosses it, if it does. Given the image
-    ``height`` (a column), rows outside it are never unfolded.
+    ``height`` (a column), rows outside it are never unfolded. ``together`` adds
+    ``_band`` and brings each feature's band to one task before rows unfold.
     """
     is_polygon = F.col(geom)["kind"] == "polygon"
     segments = F.when(
@@ -85,9 +103,12 @@ def edge_rows(features: DataFrame, keep: Sequence[str], geom: str, height: str |
     edges = features.select(*keep, is_polygon.alias("_fill"), F.inline(segments))
 
     low_y, high_y = F.least("y1", "y2"), F.greatest("y1", "y2")
-    rows = edges.withColumn(
-        "row", F.explode(_rows_between(_nearest(low_y), _nearest(high_y), height))
-    )
+    from_row, to_row, out = _nearest(low_y), _nearest(high_y), list(keep)
+    if together:
+        edges, out = _in_bands(edges, keep, height), [*keep, "_band"]
+        from_row = F.greatest(from_row, F.col("_band") * BAND_ROWS)
+        to_row = F.least(to_row, F.col("_band") * BAND_ROWS + (BAND_ROWS - 1))
+    rows = edges.withColumn("row", F.explode(_rows_between(from_row, to_row, height)))
     y = F.col("row").cast("double")
     low_x, high_x = F.least("x1", "x2"), F.greatest("x1", "x2")
     steep = (high_y - low_y) >= (high_x - low_x)
@@ -107,7 +128,7 @@ def edge_rows(features: DataFrame, keep: Sequence[str], geom: str, height: str |
         .otherwise(_run(shallow_from, shallow_to))
     )
     crosses = F.col("_fill") & ~flat & (y >= low_y) & (y < high_y)
-    return rows.select(*keep, "row", run.alias("_run"), F.when(crosses, _crossing_x(y)).alias("_x"))
+    return rows.select(*out, "row", run.alias("_run"), F.when(crosses, _crossing_x(y)).alias("_x"))
 
 
 def outline_runs(
@@ -117,14 +138,15 @@ def outline_runs(
 
     The outline takes the pixel nearest to it on every step of its major axis;
     a polygon adds the pixels inside by the even-odd rule over all its rings.
-    Each edge is cut into one row per image row it crosses before any grouping,
-    so a large outline spreads over many tasks. Given the image ``height`` (a
+    Edges are cut into bands of image rows, which are dealt out, and there into one
+    row per image row: a large outline spreads over many tasks, and no image row
+    travels. Given the image ``height`` (a
     carried column), rows outside it are never unfolded.
     """
     keep = ["fid", *carry]
     per_row = (
-        edge_rows(features, keep, geom, height)
-        .groupBy(*keep, "row")
+        edge_rows(features, keep, geom, height, together=True)
+        .groupBy(*keep, "_band", "row")
         .agg(F.collect_list("_run").alias("_edges"), F.collect_list("_x").alias("_xs"))
     )
     inside = _interior_runs(F.col("_xs"), F.ceil, F.floor)
