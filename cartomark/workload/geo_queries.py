@@ -255,11 +255,16 @@ def g12_antipodal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every customer's place to its antipode, which is half a meridian away, and to a point a tenth of a degree beside it."""
     key = F.col("c_custkey")
     lat, lon = (key * 31 % 17_000) / 100.0 - 85.0, (key * 7919 % 36_000) / 100.0 - 180.0
+    # A small file is read by few tasks, and a distance takes long: rows are dealt out first.
     places = L.table(spark, sf_dir, "customer").select(key.alias("id"), lat.alias("lat"), lon.alias("lon"))
+    places = places.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     lat, lon = F.col("lat"), F.col("lon")
     far = G.geodesic_km(lat, lon, -lat, lon + 180.0, near_antipode=True)
     beside = G.geodesic_km(lat, lon, -lat + 0.1, lon + 180.1, near_antipode=True)
-    return places.select("id", F.round(far, 5).alias("km"), ((beside < far) & (beside > far - 25)).alias("is_shorter"))
+    # Both stand in one array, so that each is computed once however often it is read.
+    both = places.select("id", F.explode(F.array(F.struct(far.alias("far"), beside.alias("beside")))).alias("d"))
+    far, beside = F.col("d.far"), F.col("d.beside")
+    return both.select("id", F.round(far, 5).alias("km"), ((beside < far) & (beside > far - 25)).alias("is_shorter"))
 
 
 @query("g12_geodesic_distance")
