@@ -14,8 +14,10 @@ from cartomark.functions import geometry as G
 from cartomark.functions.grid import axis_cell, bbox_cover, parent_cell
 from cartomark.session import materialize
 
-#: Cells a feature may span along one axis before it moves to a coarser level.
+#: Squares a feature may span along one axis before it moves to a coarser level.
 SPAN = 8
+#: Base cells along a square of the join. A box as large as a cell touches four cells, but seldom two squares.
+GRAIN = 4
 #: Levels are taken in steps of three (eight times the cell size each).
 LEVEL_STEP = 3
 MAX_LEVEL = 30
@@ -130,11 +132,13 @@ def _placed_sides(
 ) -> tuple[DataFrame, DataFrame, list[Column]]:
     """Both sides with a row per cell, columns prefixed, and the conditions of their join.
 
-    A pair meets in its first shared cell, or with ``any_cell``, for semi joins, in
-    each; boxes then travel only where a coarser level asks for them.
+    A pair meets in the first square of ``GRAIN`` cells it shares if the covers meet, or
+    with ``any_cell``, for semi joins, in each shared cell; boxes then travel only where a
+    coarser level asks for them.
     """
+    square = size if any_cell else size * GRAIN
     sides = [
-        side.withColumn("_level", _level(F.col("bbox"), size) if oversize else F.lit(0))
+        side.withColumn("_level", _level(F.col("bbox"), square) if oversize else F.lit(0))
         for side in (perf, truth)
     ]
 
@@ -163,8 +167,8 @@ def _placed_sides(
         p, g = sides
         p_slots = g_slots = at_home
 
-    placed_p = _place(p, size, p_slots)
-    placed_g = _place(g, size, g_slots)
+    placed_p = _place(p, square, p_slots)
+    placed_g = _place(g, square, g_slots)
     if any_cell:
         placed_p, placed_g = (s.withColumn("bbox", F.when(F.col("_lv") > 0, F.col("bbox"))) for s in (placed_p, placed_g))
     join_cols = [*keys, "_slot", "_lv", "_col", "_row"]
@@ -179,11 +183,11 @@ def _placed_sides(
     a, b = F.col("p_bbox"), F.col("g_bbox")
     if not any_cell:
         # Covers begin at the boxes' corners, so they are not carried along.
-        step = F.lit(float(size)) * F.pow(F.lit(2.0), F.col("_lv"))
+        step = F.lit(float(square)) * F.pow(F.lit(2.0), F.col("_lv"))
         for at, lo in (("_col", "xmin"), ("_row", "ymin")):
             on.append(F.col(at) == F.greatest(axis_cell(a[lo], step), axis_cell(b[lo], step)))
-    if oversize:
-        # Boxes met at a coarser level count only if their covers meet at the base size too.
+    if oversize or not any_cell:
+        # Boxes met in a square or at a coarser level count only if their covers meet at the base size too.
         for lo, hi in (("xmin", "xmax"), ("ymin", "ymax")):
             for c, d in ((a, b), (b, a)):
                 meet = axis_cell(c[lo], size) <= axis_cell(d[hi], size)
@@ -203,9 +207,9 @@ def spatial_pairs(
     """Performer and truth features of equal ``keys`` whose covers share a cell.
 
     Columns of the two sides come back prefixed ``p_`` and ``g_``; ``keys`` keep
-    their names. The join is an equi-join on (keys, level, cell). A pair is
-    emitted only in the first cell the two covers share, so no pair
-    de-duplication shuffle follows. Boxes too large for the base cell size are
+    their names. The join is an equi-join on (keys, level, square of ``GRAIN``
+    cells); the covers are compared there. A pair is emitted only in the first square
+    the two share, so no pair de-duplication shuffle follows. Boxes too large for the base cell size are
     placed at a coarser level; smaller ones visit that level only for keys where
     the other side has such boxes. ``condition`` (over ``p_bbox``/``g_bbox``)
     is evaluated inside the join.

@@ -142,8 +142,11 @@ def evaluate_boxes(
     group = [*match, *[c for c in SYSTEM if c in perf.columns]]
     slim_p = perf.select(*group, "fid", "bbox")
     slim_g = truth.select(*match, "fid", "bbox")
+    matched = match_boxes(slim_p, slim_g, cell, pixel, match, predicate=predicate, oversize=oversize)
+    # Features without a match are only counted.
+    matched = matched.withColumn("p_fid", F.when(F.col("g_fid").isNotNull(), F.col("p_fid")))
     # Read for the rows and again for the number of candidates per label; written, it is made once.
-    matched = materialize(match_boxes(slim_p, slim_g, cell, pixel, match, predicate=predicate, oversize=oversize), "box-matches")
+    matched = materialize(matched, "box-matches")
     rows = _finish(_with_counts(matched, slim_p, slim_g, group, match))
     return rows.withColumn("geo_value_query", F.lit(labelled))
 
@@ -163,7 +166,7 @@ def evaluate_crude(perf: DataFrame, truth: DataFrame, cell: float, pixel: float,
 
 def unmatched_features(perf: DataFrame, metrics: DataFrame) -> DataFrame:
     """Performer features without a row in the metrics (false positives)."""
-    found = metrics.select("id", F.col("p_fid").alias("fid")).distinct()
+    found = metrics.select("id", F.col("p_fid").alias("fid"))
     return perf.join(found, ["id", "fid"], "left_anti")
 
 

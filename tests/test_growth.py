@@ -98,3 +98,39 @@ def test_places_near_the_antipode_are_dealt_out(spark, tmp_path):
     rows = Q.g12_antipodal(spark, str(tmp_path))
     assert "RoundRobinPartitioning" in plan(rows)
     assert [(r["km"], r["is_shorter"]) for r in rows.collect()] == [(20003.93146, True)] * 8
+
+
+def test_boxes_as_large_as_a_cell_travel_seldom_twice(spark):
+    rows = [(1, "a", f"f{i}-{j}", x, y, x + 20, y + 20) for i, x in enumerate(range(5, 405, 20)) for j, y in enumerate(range(5, 405, 20))]
+    side = box_rows(spark, rows)
+    left, _, _ = spatial._placed_sides(side, side, ["id", "geo_value"], 20)
+    assert left.count() < 2 * len(rows)
+    # Covers of two cells by two meet those of the eight neighbours, and their own.
+    pairs = spatial.spatial_pairs(side, side, ["id", "geo_value"], 20)
+    assert pairs.count() == (3 * 20 - 2) ** 2 == pairs.select("p_fid", "g_fid").distinct().count()
+
+
+def test_boxes_in_one_square_are_candidates_only_if_their_covers_meet(spark):
+    perf = box_rows(spark, [(1, "a", "p", 1, 1, 9, 9)])
+    truth = box_rows(spark, [(1, "a", "near", 15, 15, 19, 19), (1, "a", "far", 41, 1, 49, 9)])
+    for oversize in (True, False):
+        pairs = spatial.spatial_pairs(perf, truth, ["id", "geo_value"], 20, oversize=oversize)
+        assert [r["g_fid"] for r in pairs.collect()] == ["near"]
+
+
+def test_features_without_a_match_are_counted_but_not_named(spark):
+    perf = box_rows(spark, [(1, "a", "p", 0, 0, 10, 10), (1, "a", "q", 12, 12, 13, 13)]).withColumn("system", F.lit("s"))
+    truth = box_rows(spark, [(1, "a", "g", 0, 0, 10, 10)])
+    before = written(spark, "box-matches")
+    rows = evaluate.evaluate_boxes(perf, truth, 20, 1)
+    (folder,) = written(spark, "box-matches") - before
+    assert {r["p_fid"] for r in spark.read.parquet(folder).collect()} == {"p", None}
+    assert [(r["p_fid"], r["num_cand_perf"]) for r in rows.collect()] == [("p", 2)]
+
+
+def test_unmatched_features_need_no_distinct_metrics(spark):
+    perf = spark.createDataFrame([(1, "p"), (1, "q"), (None, "p")], "id int, fid string")
+    metrics = spark.createDataFrame([(1, "p"), (1, "p")], "id int, p_fid string")
+    rows = evaluate.unmatched_features(perf, metrics)
+    assert "HashAggregate" not in plan(rows)
+    assert sorted(map(str, rows.collect())) == ["Row(id=1, fid='q')", "Row(id=None, fid='p')"]
