@@ -169,6 +169,11 @@ def a08(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = spatial.spatial_pairs(
         perf, truth, ["id", "geo_value"], L.CELL, condition=G.boxes_intersect(F.col("p_bbox"), F.col("g_bbox"))
     ).select("p_fid", "g_fid")
+    # Read for the boxes to draw on either side, for their overlap and for the scores.
+    pairs = materialize(pairs, "box-pairs")
+    # Rows per pixel row travel only for boxes that have a pair.
+    perf = perf.join(pairs.select(F.col("p_fid").alias("fid")), "fid", "left_semi")
+    truth = truth.join(pairs.select(F.col("g_fid").alias("fid")), "fid", "left_semi")
     return raster.pixel_scores(pairs, raster.box_runs(perf, L.PIXEL), raster.box_runs(truth, L.PIXEL))
 
 

@@ -100,6 +100,17 @@ def test_places_near_the_antipode_are_dealt_out(spark, tmp_path):
     assert [(r["km"], r["is_shorter"]) for r in rows.collect()] == [(20003.93146, True)] * 8
 
 
+def line_rows(spark, path, rows):
+    """Line items from ``order, map, line number, x0, y0``: boxes of 100 by 100 under one label."""
+    lines = spark.createDataFrame(
+        [(o, 1, m, n, x / 100, y * 20.0, 0.0, 0.0, "A") for o, m, n, x, y in rows],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string",
+    )
+    lines.write.parquet(f"{path}/lineitem.parquet")
+    return str(path)
+
+
 def test_boxes_as_large_as_a_cell_travel_seldom_twice(spark):
     rows = [(1, "a", f"f{i}-{j}", x, y, x + 20, y + 20) for i, x in enumerate(range(5, 405, 20)) for j, y in enumerate(range(5, 405, 20))]
     side = box_rows(spark, rows)
@@ -134,3 +145,14 @@ def test_unmatched_features_need_no_distinct_metrics(spark):
     rows = evaluate.unmatched_features(perf, metrics)
     assert "HashAggregate" not in plan(rows)
     assert sorted(map(str, rows.collect())) == ["Row(id=1, fid='q')", "Row(id=None, fid='p')"]
+
+
+def test_only_boxes_with_a_pair_become_runs(spark, tmp_path):
+    from cartomark.workload import aggregate_queries as Q
+
+    sf_dir = line_rows(spark, tmp_path, [(1, 7, 1, 0, 0), (2, 7, 2, 50, 0), (3, 7, 1, 900, 900), (4, 8, 2, 0, 0)])
+    before = written(spark, "box-pairs")
+    rows = Q.a08(spark, sf_dir)
+    assert len(written(spark, "box-pairs") - before) == 1
+    assert "LeftSemi" in plan(rows)
+    assert [(r["p_fid"][0], r["g_fid"][0], r["true_positives"], r["len_pdf"], r["len_gdf"]) for r in rows.collect()] == [("1", "2", 24, 36, 36)]
