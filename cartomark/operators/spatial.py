@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartomark.functions import geometry as G
@@ -242,15 +242,14 @@ def cell_index_table(
     rows = features.select(*keys, F.explode("coarse_cells").alias("coarse_cell"), "fine_cells", ref)
     rows = rows.select(*keys, "coarse_cell", F.explode("fine_cells").alias("fine_cell"), ref)
     cell = [*keys, "coarse_cell", "fine_cell"]
-    pages = (
-        rows.groupBy(*cell)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > page_rows)
-        .select(*cell, F.ceil(F.col("_n") / page_rows).cast("bigint").alias("_pages"))
-    )
+    # Counted where the cell's rows already are, so they are made and exchanged once. Keys that are null are one page.
+    here = F.count(F.lit(1)).over(Window.partitionBy(*cell))
+    known = F.lit(True)
+    for c in cell:
+        known = known & F.col(c).isNotNull()
+    pages = F.when(known, F.ceil(here / page_rows)).otherwise(1).cast("bigint")
     return (
-        rows.join(pages, cell, "left")
-        .withColumn("page", F.pmod(F.xxhash64(ref), F.coalesce("_pages", F.lit(1).cast("bigint"))))
+        rows.withColumn("page", F.pmod(F.xxhash64(ref), pages))
         .groupBy(*cell, "page")
         .agg(F.array_sort(F.collect_list(ref)).alias("refs"))
     )

@@ -156,3 +156,14 @@ def test_only_boxes_with_a_pair_become_runs(spark, tmp_path):
     assert len(written(spark, "box-pairs") - before) == 1
     assert "LeftSemi" in plan(rows)
     assert [(r["p_fid"][0], r["g_fid"][0], r["true_positives"], r["len_pdf"], r["len_gdf"]) for r in rows.collect()] == [("1", "2", 24, 36, 36)]
+
+
+def test_cell_index_makes_its_rows_once(spark):
+    rows = box_rows(spark, [(1, "a", f"f{i:02d}", 0, 0, 5, 5) for i in range(40)] + [(None, "a", f"n{i:02d}", 0, 0, 5, 5) for i in range(9)])
+    index = spatial.cell_index_table(spatial.with_cells(rows, 10.0, 1), ["id"], page_rows=4)
+    assert plan(index).count("Exchange hashpartitioning") == 1
+    pages = index.collect()
+    assert sorted(f for r in pages if r["id"] == 1 for f in r["refs"]) == [f"f{i:02d}" for i in range(40)]
+    assert sum(r["id"] == 1 for r in pages) > 1
+    # Rows of an unknown map are not counted into pages.
+    assert [len(r["refs"]) for r in pages if r["id"] is None] == [9]
