@@ -255,6 +255,18 @@ def cell_index_table(
     )
 
 
+def near_squares(df: DataFrame, places: dict[str, str], reach: int, side: int) -> DataFrame:
+    """Rows once per square of ``side`` that holds places within ``reach`` of theirs.
+
+    ``places`` names the square's number per whole-number coordinate. Numbers are those
+    of ``div``, so a place's own square is its coordinates ``div side``.
+    """
+    for at, square in places.items():
+        within = F.expr(f"sequence((`{at}` - {reach}) div {side}, (`{at}` + {reach}) div {side})")
+        df = df.withColumn(square, F.explode(within))
+    return df
+
+
 def z_order_layout(df: DataFrame, x: Column, y: Column, partitions: int | None = None) -> DataFrame:
     """Range-partition and sort by the Z-order key of two integer columns."""
     from cartomark.functions.grid import morton

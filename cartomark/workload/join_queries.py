@@ -494,12 +494,9 @@ def l04(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["id", "geo_value"]
     left = L.performers(spark, sf_dir).select(*keys, F.col("fid").alias("p_fid"), F.col("x0").alias("px"), F.col("y0").alias("py"))
     right = L.truths(spark, sf_dir).select(*keys, F.col("fid").alias("g_fid"), F.col("x0").alias("gx"), F.col("y0").alias("gy"))
-    # Neighbouring truth positions: equal or adjacent squares of side 100.
-    left = left.withColumns({"cx": F.expr("px div 100"), "cy": F.expr("py div 100")})
-    near = F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: d)
-    right = right.withColumn("_dx", F.explode(near)).withColumn("_dy", F.explode(near)).withColumns(
-        {"cx": F.expr("gx div 100 + _dx"), "cy": F.expr("gy div 100 + _dy")}
-    )
+    # Neighbouring truth positions: all squares of side 400 within 100, mostly one or two.
+    left = left.withColumns({"cx": F.expr("px div 400"), "cy": F.expr("py div 400")})
+    right = spatial.near_squares(right, {"gx": "cx", "gy": "cy"}, 100, 400)
     on = [*keys, "cx", "cy"]
     left, right = balance.salt_by_work(left, right, on, "p_fid", target_pairs=2)
     return (

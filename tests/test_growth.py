@@ -167,3 +167,13 @@ def test_cell_index_makes_its_rows_once(spark):
     assert sum(r["id"] == 1 for r in pages) > 1
     # Rows of an unknown map are not counted into pages.
     assert [len(r["refs"]) for r in pages if r["id"] is None] == [9]
+
+
+def test_near_places_share_few_squares(spark, tmp_path):
+    from cartomark.workload import join_queries as Q
+
+    places = spark.range(-1000, 1000, 7).selectExpr("id AS x", "id * 3 % 1000 AS y")
+    near = spatial.near_squares(places, {"x": "cx", "y": "cy"}, 100, 400)
+    assert near.count() < 3 * places.count()
+    sf_dir = line_rows(spark, tmp_path, [(1, 7, 1, 395, 405), (2, 7, 2, 405, 395), (3, 7, 2, 495, 505), (4, 7, 2, 496, 405), (5, 8, 2, 395, 405)])
+    assert sorted((r["p_fid"][0], r["g_fid"][0]) for r in Q.l04(spark, sf_dir).collect()) == [("1", "2"), ("1", "3")]
