@@ -177,3 +177,29 @@ def test_near_places_share_few_squares(spark, tmp_path):
     assert near.count() < 3 * places.count()
     sf_dir = line_rows(spark, tmp_path, [(1, 7, 1, 395, 405), (2, 7, 2, 405, 395), (3, 7, 2, 495, 505), (4, 7, 2, 496, 405), (5, 8, 2, 395, 405)])
     assert sorted((r["p_fid"][0], r["g_fid"][0]) for r in Q.l04(spark, sf_dir).collect()) == [("1", "2"), ("1", "3")]
+
+
+def test_upright_edges_are_drawn_in_blocks(spark):
+    from cartomark.operators import blocks as B
+
+    def ring(*points):
+        return F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in points])
+
+    box = ring((3, -5), (90, -5), (90, 70), (3, 70), (3, -5))
+    hole = ring((20, 10), (20, 41), (60, 30), (60, 10), (20, 10))
+    shapes = spark.range(1).select(
+        F.inline(F.array(
+            F.struct(F.lit("box").alias("fid"), G.geometry(F.lit("polygon"), F.array(box)).alias("px_geom")),
+            F.struct(F.lit("holed").alias("fid"), G.geometry(F.lit("polygon"), F.array(box, hole)).alias("px_geom")),
+            F.struct(F.lit("line").alias("fid"), G.geometry(F.lit("line"), F.array(ring((5, 2), (5, 33), (11, 33)))).alias("px_geom")),
+        ))
+    ).withColumns({"w": F.lit(64), "h": F.lit(50)})
+    upright = R.edge_rows(shapes.where("fid = 'box'"), ["fid"], "px_geom", eights=True)
+    assert upright.count() == 2 + 2 * 10
+    for width, height in ((None, None), ("w", "h")):
+        size = R.outline_runs(shapes, ["w", "h"], height=height)
+        if width:
+            size = R.clip_runs(size, F.col("w"), F.col("h"))
+        want = {r["fid"]: r["pixels"] for r in R.run_sizes(size).collect()}
+        got = {r["fid"]: r["pixels"] for r in B.block_sizes(B.outline_blocks(shapes, width=width, height=height)).collect()}
+        assert got == want
