@@ -28,6 +28,7 @@ _UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanma
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"[+-]?\d[\d.,:/]*\d|\d")
 _NUMBER_UNIT = re.compile(r"([+-]?\d[\d.,]*)([^\W\d_]+|%)")
+_MARKS = frozenset(".,;:!?")
 PLACEHOLDERS = {1: "<number>", 2: "<unit>", 3: "<name>"}
 WINDOWS = "key long, pos int, hash long, size int, words int, slots array<string>"
 
@@ -38,6 +39,17 @@ def canonical(token: str) -> tuple[str, str, int, int, bool]:
     Kinds: 0 word, 1 number, 2 unit, 3 name, -1 nothing but punctuation. A
     capitalised word is a name unless it starts a sentence.
     """
+    # Most tokens are letters, with one mark behind at most: no pattern needs to look at them.
+    mark = token[-1:] if token[-1:] in _MARKS else ""
+    core = token[:-1] if mark else token
+    if core.isalpha():
+        low = core.lower()
+        ends = mark != "" and mark in ".!?"
+        if low in UNITS:
+            return low, low, 2, 2, ends
+        if core[0].isupper():
+            return low, low, 3, 0, ends
+        return low, low, 0, 0, ends
     core = _EDGE.sub("", token)
     tail = token[token.rfind(core) + len(core) :] if core else token
     ends = any(c in ".!?" for c in tail)

@@ -245,3 +245,27 @@ def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
         assert got.columns == odd_docs.columns + ["held_out", "predicted"] and dict(got.dtypes)["score"] == "double"
         assert all(r["predicted"] == 0 for r in got.collect())
     assert T.classify(no_docs, odd_labels).count() == 0
+
+
+def test_plain_words_are_read_without_patterns(monkeypatch):
+    tokens = ["word", "Name", "Name,", "mm", "mm.", "End!", "Éa", "éA?", "über;", "a", "A.", "ǅx", "漢字", "ªb:"]
+    others = ["", ".", "..", "a..", '"Quote"', "x1", "12", "1,000.", "5kg", "5%", "it's", "_a", "a_", "é1.", "+3.5", "--", "a.b", "Ⅷ", "²"]
+
+    def slowly(token):
+        core = D._EDGE.sub("", token)
+        tail = token[token.rfind(core) + len(core) :] if core else token
+        ends = any(c in ".!?" for c in tail)
+        if not core:
+            return "", "", -1, -1, ends
+        if D._NUMBER.fullmatch(core) or D._NUMBER_UNIT.fullmatch(core):
+            return core, core, 1, 1, ends
+        low = core.lower()
+        if low in D.UNITS:
+            return low, low, 2, 2, ends
+        return low, low, 3 if core[0].isupper() else 0, 0, ends
+
+    want = [slowly(t) for t in tokens]
+    assert [D.canonical(t) for t in others] == [slowly(t) for t in others]
+    for name in ("_EDGE", "_NUMBER", "_NUMBER_UNIT"):
+        monkeypatch.setattr(D, name, None)
+    assert [D.canonical(t) for t in tokens] == want
