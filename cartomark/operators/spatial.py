@@ -18,6 +18,9 @@ from cartomark.session import materialize
 SPAN = 8
 #: Base cells along a square of the join. A box as large as a cell touches four cells, but seldom two squares.
 GRAIN = 4
+#: Base cells along an area of the prefilter, whose cells are one row of masks, and the bits of a cell's number there.
+AREA_BITS = 5
+AREA = 1 << AREA_BITS
 #: Levels are taken in steps of three (eight times the cell size each).
 LEVEL_STEP = 3
 MAX_LEVEL = 30
@@ -65,25 +68,92 @@ def cell_prefilter(
     return kept_perf, keep(truth, kept_perf)
 
 
+def _shl(value: Column, by: Column) -> Column:
+    return F.call_function("shiftleft", value, by.cast("int"))
+
+
+def _bits(first: Column, last: Column) -> Column:
+    """The bits ``first..last`` of a number."""
+    ones = F.lit(-1).cast("bigint")
+    return F.call_function("shiftrightunsigned", ones, (F.lit(63) - last).cast("int")).bitwiseAND(_shl(ones, first))
+
+
+def _in_areas(side: DataFrame, size: float) -> DataFrame:
+    """Boxes once per area of ``AREA`` by ``AREA`` cells they touch (``_ac``, ``_ar``), with the cells ``_x0..``, ``_y0..`` there."""
+    b = F.col("bbox")
+    side = side.where(F.forall(F.array(*[b[c] for c in ("xmin", "ymin", "xmax", "ymax")]), lambda v: v.isNotNull()))
+    for at, low, high in (("c", "xmin", "xmax"), ("r", "ymin", "ymax")):
+        ends = axis_cell(b[low], size), axis_cell(b[high], size)
+        side = side.withColumns({f"_{at}0": F.least(*ends), f"_{at}1": F.greatest(*ends)})
+    area = [F.floor(F.col(c) / AREA).cast("bigint") for c in ("_c0", "_c1", "_r0", "_r1")]
+    side = side.withColumn("_ac", F.explode(F.sequence(*area[:2]))).withColumn("_ar", F.explode(F.sequence(*area[2:])))
+    none, last = F.lit(0).cast("bigint"), F.lit(AREA - 1).cast("bigint")
+    local = {}
+    for to, at, first in (("_x", "_c", "_ac"), ("_y", "_r", "_ar")):
+        local[f"{to}0"] = F.greatest(F.col(f"{at}0") - F.col(first) * AREA, none)
+        local[f"{to}1"] = F.least(F.col(f"{at}1") - F.col(first) * AREA, last)
+    return side.withColumns(local).drop("bbox", "_c0", "_c1", "_r0", "_r1")
+
+
+def _occupied(side: DataFrame, keys: Sequence[str], size: float) -> DataFrame:
+    """Per key and area the cells that any box touches: one row of masks, combined before the exchange."""
+    placed = _in_areas(side, size).withColumn("_bits", _bits(F.col("_x0"), F.col("_x1")))
+    placed = placed.withColumn("_high", F.shiftleft("_bits", AREA))
+
+    def row(k: int, bits: str) -> Column:
+        return F.when((F.col("_y0") <= k) & (F.col("_y1") >= k), F.col(bits)).otherwise(F.lit(0).cast("bigint"))
+
+    # Two rows of cells are one number.
+    masks = [F.bit_or(row(k, "_bits").bitwiseOR(row(k + 1, "_high"))).alias(f"_m{k}") for k in range(0, AREA, 2)]
+    met = placed.groupBy(*keys, "_ac", "_ar").agg(*masks)
+    return met.select(*keys, "_ac", "_ar", F.array(*[f"_m{k}" for k in range(0, AREA, 2)]).alias("_touched"))
+
+
 def box_prefilter(
     perf: DataFrame, truth: DataFrame, keys: Sequence[str], size: float
 ) -> tuple[DataFrame, DataFrame]:
     """Features of either side whose boxes share a cell of ``size`` with one of the other.
 
-    A cell lies wholly in its coarse parent, so sharing a fine cell implies
-    sharing the coarse one. Boxes are placed as in :func:`spatial_pairs`, so a
-    map-wide box takes a few coarse cells, and a semi join asks for any partner.
+    What a side touches is a row of masks per key and area of ``AREA`` by ``AREA``
+    cells, so boxes travel to their area once, with their cells there in one number, and
+    are never compared with each other. Boxes of more than ``SPAN`` areas along
+    an axis, and those that may meet them, are placed as in :func:`spatial_pairs`.
     """
+    sides = [side.select(*keys, "fid", "bbox") for side in (perf, truth)]
+    square = size * AREA
+    left, right, on = _placed_sides(*sides, keys, size, any_cell=True, square=square)
+    left, right = left.where("_lv > 0"), right.where("_g_lv > 0")
 
-    def keep(side: DataFrame, other: DataFrame) -> DataFrame:
-        left, right, on = _placed_sides(
-            side.select(*keys, "fid", "bbox"), other.select(*keys, "bbox").distinct(), keys, size, any_cell=True
-        )
-        right = right.distinct()
-        ids = left.join(right, on, "left_semi").select(*keys, F.col("p_fid").alias("fid")).distinct()
+    def few(placed: DataFrame, fid: str) -> DataFrame:
+        return placed.drop(fid).distinct()
+
+    coarse = (
+        left.join(few(right, "g_fid"), on, "left_semi").select(*keys, F.col("p_fid").alias("fid")),
+        right.join(few(left, "p_fid"), on, "left_semi").select(*[F.col(f"_g{k}").alias(k) for k in keys], F.col("g_fid").alias("fid")),
+    )
+    small = [side.where(_level(F.col("bbox"), square) == 0) for side in sides]
+    parts = ("_x0", "_x1", "_y0", "_y1")
+
+    def keep(side: DataFrame, own: DataFrame, other: DataFrame, met_above: DataFrame) -> DataFrame:
+        packed = F.lit(0).cast("bigint")
+        for k, c in enumerate(parts):
+            packed = packed + F.shiftleft(F.col(c), AREA_BITS * k)
+        placed = _in_areas(own, size).select(*keys, "fid", "_ac", "_ar", packed.cast("int").alias("_cells"))
+        unpacked = {
+            c: F.shiftright("_cells", AREA_BITS * k).bitwiseAND(F.lit(AREA - 1)).cast("bigint") for k, c in enumerate(parts)
+        }
+        met = placed.join(_occupied(other, keys, size), [*keys, "_ac", "_ar"]).withColumns(unpacked)
+        own_bits = _bits(F.col("_x0"), F.col("_x1"))
+
+        def touched(r: Column) -> Column:
+            two = F.get("_touched", F.floor(r / 2).cast("int"))
+            return F.call_function("shiftrightunsigned", two, (r % 2 * AREA).cast("int")).bitwiseAND(own_bits) != 0
+
+        met = met.where(F.exists(F.sequence("_y0", "_y1"), touched))
+        ids = met.select(*keys, "fid").unionByName(met_above).distinct()
         return side.join(ids, [*keys, "fid"], "left_semi")
 
-    return keep(perf, truth), keep(truth, perf)
+    return keep(perf, *small, coarse[0]), keep(truth, *small[::-1], coarse[1])
 
 
 def _level(box: Column, size: float) -> Column:
@@ -128,15 +198,15 @@ def _place(side: DataFrame, size: float, slots: Column) -> DataFrame:
 
 
 def _placed_sides(
-    perf: DataFrame, truth: DataFrame, keys: Sequence[str], size: float, oversize: bool = True, any_cell: bool = False
+    perf: DataFrame, truth: DataFrame, keys: Sequence[str], size: float, oversize: bool = True, any_cell: bool = False, square: float | None = None
 ) -> tuple[DataFrame, DataFrame, list[Column]]:
     """Both sides with a row per cell, columns prefixed, and the conditions of their join.
 
     A pair meets in the first square of ``GRAIN`` cells it shares if the covers meet, or
     with ``any_cell``, for semi joins, in each shared cell; boxes then travel only where a
-    coarser level asks for them.
+    coarser level asks for them. ``square`` sets another size of the squares.
     """
-    square = size if any_cell else size * GRAIN
+    square = square or (size if any_cell else size * GRAIN)
     sides = [
         side.withColumn("_level", _level(F.col("bbox"), square) if oversize else F.lit(0))
         for side in (perf, truth)

@@ -203,3 +203,18 @@ def test_upright_edges_are_drawn_in_blocks(spark):
         want = {r["fid"]: r["pixels"] for r in R.run_sizes(size).collect()}
         got = {r["fid"]: r["pixels"] for r in B.block_sizes(B.outline_blocks(shapes, width=width, height=height)).collect()}
         assert got == want
+
+
+def test_prefilter_sends_boxes_once_to_an_area(spark):
+    rows = [(1, "a", f"f{i}-{j}", x, y, x + 20, y + 20) for i, x in enumerate(range(-195, 205, 20)) for j, y in enumerate(range(-195, 205, 20))]
+    wide = [(1, "b", "wide", -4000, -4000, 4000, 4000), (1, "b", "huge", -400_000, 0, 400_000, 10)]
+    perf = box_rows(spark, [*rows, *wide, (1, "b", "p", 500, 500, 510, 510), (1, "b", "far", 5000, 5000, 5010, 5010), (None, "a", "n", 0, 0, 9, 9)])
+    truth = box_rows(spark, [(1, "a", "g", 1, 1, 9, 9), (1, "b", "t", 3999, -3999, 4050, -3990), (1, "b", "u", 300_000, 12, 300_010, 19), (1, "b", "v", 300_000, 20, 300_010, 29)])
+    placed = spatial._in_areas(perf.where("geo_value = 'a' and id is not null"), 20)
+    assert placed.count() < 1.2 * len(rows)
+    kept = spatial.box_prefilter(perf, truth, ["id", "geo_value"], 20)
+    exchanges = [line for line in plan(kept[0]).splitlines() if "Exchange hashpartitioning" in line and "fid" not in line]
+    assert any("_ac" in line for line in exchanges) and "_cells" in plan(kept[0])
+    near = {f"f{i}-{j}" for i in (9, 10) for j in (9, 10)}
+    assert {r["fid"] for r in kept[0].collect()} == near | {"wide", "huge"}
+    assert sorted(r["fid"] for r in kept[1].collect()) == ["g", "t", "u"]
