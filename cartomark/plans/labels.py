@@ -12,6 +12,7 @@ from cartomark.functions.text import sequence_ratio
 from cartomark.operators.balance import first_per_key
 from cartomark.operators.similarity import best_matches, similar_pairs, tfidf_cosine
 from cartomark.operators.spatial import score_boxes, spatial_pairs
+from cartomark.session import materialize
 
 NOT_IN_DICTIONARY = "Not in Dictionary"
 NOT_IN_TRUTH = "Does Not Exist In Ground-Truth"
@@ -441,42 +442,43 @@ def assign_by_legend(features: DataFrame, legend: DataFrame, cell: float) -> Dat
     takes the map's first item at 0. Without a box or a legend the feature keeps
     the marker to search spatially.
     """
-    boxes = features.where("bbox is not null").select("cog_id", "bbox").distinct()
-    boxes = boxes.withColumn("fid", F.xxhash64("cog_id", "bbox"))
-    items = legend.where("bbox is not null").groupBy("cog_id", "bbox").agg(F.min("item").alias("fid"))
-    pairs = score_boxes(
-        spatial_pairs(
-            boxes, items, ["cog_id"], cell, condition=boxes_intersect(F.col("p_bbox"), F.col("g_bbox"))
-        )
-    )
-    met = pairs.groupBy("cog_id", F.col("p_bbox").alias("bbox")).agg(
-        F.min(F.struct((-F.col("iou_units")).alias("u"), F.col("g_fid").alias("item"))).alias("_m")
-    )
-    first = items.groupBy("cog_id").agg(F.min("fid").alias("_first"))
     label = F.coalesce(
         F.nullif(T.strip_nonword(F.col("abbreviation")), F.lit("")), T.strip_nonword(F.col("label"))
     )
-    names = legend.select("cog_id", "item", label.alias("_name"))
-    chosen = (
-        boxes.select("cog_id", "bbox")
-        .join(met, ["cog_id", "bbox"], "left")
-        .join(first, "cog_id")
-        .select(
-            "cog_id",
-            "bbox",
-            F.when(F.col("_m.u") < 0, F.col("_m.item")).otherwise(F.col("_first")).alias("item"),
-            F.coalesce(-F.col("_m.u"), F.lit(0).cast("bigint")).alias("_units"),
+    # An item listed twice labels its features twice, so its names are a list.
+    named = legend.groupBy("cog_id", "item").agg(
+        F.collect_list(F.struct(label.alias("_name"))).alias("_names"), F.collect_set("bbox").alias("_boxes")
+    )
+    known = F.when(F.col("item").isNotNull(), F.struct("item", "_names"))
+    items = named.select("cog_id", F.explode("_boxes").alias("bbox"), known.alias("_item"))
+    items = items.groupBy("cog_id", "bbox").agg(F.min("_item").alias("item"))
+    pairs = score_boxes(
+        spatial_pairs(
+            features.where("bbox is not null").select("cog_id", "bbox").distinct(),
+            items, ["cog_id"], cell, condition=boxes_intersect(F.col("p_bbox"), F.col("g_bbox")),
         )
-        .join(names, ["cog_id", "item"])
+    ).where("iou_units > 0")
+    met = pairs.groupBy("cog_id", F.col("p_bbox").alias("bbox")).agg(
+        F.min(F.struct((-F.col("iou_units")).alias("u"), F.col("g_item").alias("item"))).alias("_m")
     )
+    met = met.select("cog_id", "bbox", (-F.col("_m.u")).alias("_units"), F.col("_m.item._names").alias("_names"))
+    # One row per map, written, so that its size is known: while it is small, it goes to the features.
+    first = named.where(F.size("_boxes") > 0).groupBy("cog_id").agg(F.min(known).alias("_first"))
+    first = materialize(first.select("cog_id", F.col("_first._names").alias("_first")), "first-items")
+    missed = F.col("_units").isNull()
+    names = F.when(~missed, F.col("_names")).when(F.col("bbox").isNotNull(), F.col("_first"))
+    columns = ["cog_id", "bbox", *[c for c in features.columns if c not in ("cog_id", "bbox")]]
     return (
-        features.join(chosen.drop("item"), ["cog_id", "bbox"], "left")
+        features.join(met, ["cog_id", "bbox"], "left")
+        .join(first, "cog_id", "left")
+        .withColumns({"_names": names, "_units": F.when(names.isNotNull(), F.coalesce("_units", F.lit(0).cast("bigint")))})
+        .select(*columns, "_units", F.explode_outer("_names").alias("_of"))
         .withColumns(
             {
-                "geo_value": F.coalesce("_name", F.lit(USE_SPATIAL_INDEX)),
+                "geo_value": F.coalesce("_of._name", F.lit(USE_SPATIAL_INDEX)),
                 "legend_iou": F.col("_units") / F.lit(1000.0),
                 "match_binary": F.when(F.col("bbox").isNull(), F.lit(False)),
             }
         )
-        .drop("_name", "_units")
+        .drop("_of", "_units")
     )

@@ -218,3 +218,24 @@ def test_prefilter_sends_boxes_once_to_an_area(spark):
     near = {f"f{i}-{j}" for i in (9, 10) for j in (9, 10)}
     assert {r["fid"] for r in kept[0].collect()} == near | {"wide", "huge"}
     assert sorted(r["fid"] for r in kept[1].collect()) == ["g", "t", "u"]
+
+
+def test_legend_items_bring_their_names(spark):
+    from cartomark.functions.geometry import USE_SPATIAL_INDEX
+    from cartomark.plans import labels
+
+    box = "bbox struct<xmin:double,ymin:double,xmax:double,ymax:double>"
+    at = {"a": (0.0, 0.0, 10.0, 10.0), "b": (4.0, 0.0, 14.0, 10.0), "far": (90.0, 90.0, 95.0, 95.0), "none": None}
+    features = spark.createDataFrame([("m", k, v) for k, v in at.items()] + [("x", "bare", at["a"])], f"cog_id string, fid string, {box}")
+    legend = spark.createDataFrame(
+        [("m", "i2", at["a"], "A", None), ("m", "i1", (4.0, 0.0, 14.0, 9.0), "B-1", None), ("m", "i1", (4.0, 0.0, 14.0, 9.0), "", None)],
+        f"cog_id string, item string, {box}, abbreviation string, label string",
+    )
+    before = written(spark, "first-items")
+    rows = labels.assign_by_legend(features, legend, 10.0)
+    assert len(written(spark, "first-items") - before) == 1
+    # An item listed twice labels twice: once by its name, once without one.
+    assert sorted((r["fid"], r["geo_value"], r["legend_iou"]) for r in rows.collect() if r["legend_iou"] is not None) == [
+        ("a", "A", 100.0), ("b", USE_SPATIAL_INDEX, 90.0), ("b", "B1", 90.0), ("far", USE_SPATIAL_INDEX, 0.0), ("far", "B1", 0.0),
+    ]
+    assert sorted((r["fid"], r["geo_value"]) for r in rows.collect() if r["legend_iou"] is None) == [("bare", USE_SPATIAL_INDEX), ("none", USE_SPATIAL_INDEX)]
