@@ -175,13 +175,30 @@ def outline_runs(
     return per_row.select(*keep, "row", F.inline(merge_runs(F.concat(outline, inside))))
 
 
-def box_runs(features: DataFrame, pixel: float, carry: Sequence[str] = (), box: str = "bbox") -> DataFrame:
-    """Runs of axis-parallel boxes: closed form, no shuffle."""
+def box_runs(
+    features: DataFrame, pixel: float, carry: Sequence[str] = (), box: str = "bbox", stacked: bool = False
+) -> DataFrame:
+    """Runs of axis-parallel boxes: closed form, no shuffle.
+
+    ``stacked`` gives equal runs of a band of ``BAND_ROWS`` image rows as one row,
+    from ``row`` to ``to_row``.
+    """
     b = F.col(box)
 
     def at(value: Column) -> Column:
         return F.floor(value / F.lit(float(pixel))).cast("bigint")
 
+    if stacked:
+        low, high = F.least(at(b["ymin"]), at(b["ymax"])), F.greatest(at(b["ymin"]), at(b["ymax"]))
+        known = b["ymin"].isNotNull() & b["ymax"].isNotNull()
+        bands = F.sequence(F.floor(low / BAND_ROWS).cast("bigint"), F.floor(high / BAND_ROWS).cast("bigint"))
+        stacks = features.select(
+            "fid", *carry, low.alias("_low"), high.alias("_high"), at(b["xmin"]).alias("c0"), at(b["xmax"]).alias("c1"), F.explode(F.when(known, bands)).alias("_band")
+        )
+        first = F.col("_band") * BAND_ROWS
+        return stacks.select(
+            "fid", *carry, F.greatest("_low", first).alias("row"), F.least("_high", first + (BAND_ROWS - 1)).alias("to_row"), "c0", "c1"
+        )
     return features.select(
         "fid",
         *carry,
@@ -276,28 +293,38 @@ def run_pixels(runs: DataFrame) -> DataFrame:
     return runs.select(*cols, F.explode(F.sequence("c0", "c1")).alias("col"))
 
 
+def _rows_of(runs: DataFrame) -> Column:
+    """Image rows a run stands for: one, or those of its stack."""
+    return F.col("to_row") - F.col("row") + 1 if "to_row" in runs.columns else F.lit(1).cast("bigint")
+
+
 def run_sizes(runs: DataFrame, keys: Sequence[str] = ("fid",)) -> DataFrame:
-    return runs.groupBy(*keys).agg(F.sum(F.col("c1") - F.col("c0") + 1).alias("pixels"))
+    return runs.groupBy(*keys).agg(F.sum((F.col("c1") - F.col("c0") + 1) * _rows_of(runs)).alias("pixels"))
 
 
 def pixel_overlap(
     pairs: DataFrame, perf_runs: DataFrame, truth_runs: DataFrame, pair_keys: Sequence[str] = ("p_fid", "g_fid")
 ) -> DataFrame:
-    """Shared pixels per pair: runs meet on (feature, row), their overlaps are summed."""
+    """Shared pixels per pair: runs meet on (feature, row), stacks of them on (feature, band); their overlaps are summed."""
     p, g = pair_keys
-    p_rows = pairs.select(p, g).join(
-        perf_runs.select(F.col("fid").alias(p), "row", "c0", "c1"), p
-    )
-    g_rows = truth_runs.select(
-        F.col("fid").alias(g), "row", F.col("c0").alias("_d0"), F.col("c1").alias("_d1")
-    )
-    shared = F.least("c1", "_d1") - F.greatest("c0", "_d0") + 1
-    return (
-        p_rows.join(g_rows, [g, "row"])
-        .where(shared > 0)
-        .groupBy(p, g)
-        .agg(F.sum(shared).alias("true_positives"))
-    )
+    stacked = "to_row" in perf_runs.columns and "to_row" in truth_runs.columns
+    at = "_band" if stacked else "row"
+
+    def placed(runs: DataFrame, fid: str, **names: str) -> DataFrame:
+        if stacked:
+            # A stack lies within one band.
+            runs = runs.withColumn("_band", F.floor(F.col("row") / BAND_ROWS).cast("bigint"))
+        return runs.select(F.col("fid").alias(fid), at, *[F.col(c).alias(to) for to, c in names.items()])
+
+    spans = {"c0": "c0", "c1": "c1"} | ({"row": "row", "to_row": "to_row"} if stacked else {})
+    p_rows = pairs.select(p, g).join(placed(perf_runs, p, **spans), p)
+    g_rows = placed(truth_runs, g, **{f"_g_{to}": c for to, c in spans.items()})
+    shared = F.least("c1", "_g_c1") - F.greatest("c0", "_g_c0") + 1
+    met = p_rows.join(g_rows, [g, at]).where(shared > 0)
+    if stacked:
+        common = F.least("to_row", "_g_to_row") - F.greatest("row", "_g_row") + 1
+        met, shared = met.where(common > 0), shared * common
+    return met.groupBy(p, g).agg(F.sum(shared).alias("true_positives"))
 
 
 def pixel_scores(
@@ -314,9 +341,11 @@ def overlap_scores(pairs: DataFrame, shared: DataFrame, perf_sizes: DataFrame, t
     p_size = perf_sizes.select(F.col("fid").alias("p_fid"), F.col("pixels").alias("_lp"))
     g_size = truth_sizes.select(F.col("fid").alias("g_fid"), F.col("pixels").alias("_lg"))
     wide = (
-        pairs.join(shared, ["p_fid", "g_fid"], "left")
-        .join(p_size, "p_fid", "left")
+        # By performer first: the overlap deals the pairs out in the same way.
+        pairs.join(p_size, "p_fid", "left")
         .join(g_size, "g_fid", "left")
+        .join(shared, ["p_fid", "g_fid"], "left")
+        .select("g_fid", "p_fid", *[c for c in pairs.columns if c not in ("p_fid", "g_fid")], "true_positives", "_lp", "_lg")
         .withColumns(
             {
                 "true_positives": F.coalesce("true_positives", F.lit(0).cast("bigint")),

@@ -171,10 +171,10 @@ def a08(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("p_fid", "g_fid")
     # Read for the boxes to draw on either side, for their overlap and for the scores.
     pairs = materialize(pairs, "box-pairs")
-    # Rows per pixel row travel only for boxes that have a pair.
+    # Runs travel only for boxes that have a pair, and those of a band of image rows as one row.
     perf = perf.join(pairs.select(F.col("p_fid").alias("fid")), "fid", "left_semi")
     truth = truth.join(pairs.select(F.col("g_fid").alias("fid")), "fid", "left_semi")
-    return raster.pixel_scores(pairs, raster.box_runs(perf, L.PIXEL), raster.box_runs(truth, L.PIXEL))
+    return raster.pixel_scores(pairs, *(raster.box_runs(side, L.PIXEL, stacked=True) for side in (perf, truth)))
 
 
 SLANTED_SQL = L.with_sql(L.BOXES_SQL, L.PAIRS_SQL) + f""", shapes AS (

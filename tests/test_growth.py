@@ -236,6 +236,17 @@ def test_legend_items_bring_their_names(spark):
     assert len(written(spark, "first-items") - before) == 1
     # An item listed twice labels twice: once by its name, once without one.
     assert sorted((r["fid"], r["geo_value"], r["legend_iou"]) for r in rows.collect() if r["legend_iou"] is not None) == [
-        ("a", "A", 100.0), ("b", USE_SPATIAL_INDEX, 90.0), ("b", "B1", 90.0), ("far", USE_SPATIAL_INDEX, 0.0), ("far", "B1", 0.0),
+        ("a", "A", 100.0), ("b", "B1", 90.0), ("b", USE_SPATIAL_INDEX, 90.0), ("far", "B1", 0.0), ("far", USE_SPATIAL_INDEX, 0.0),
     ]
     assert sorted((r["fid"], r["geo_value"]) for r in rows.collect() if r["legend_iou"] is None) == [("bare", USE_SPATIAL_INDEX), ("none", USE_SPATIAL_INDEX)]
+
+
+def test_stacks_of_runs_count_as_their_runs(spark):
+    perf = box_rows(spark, [(1, "a", "p", -35, -700, 45, 900), (1, "a", "p", 0, 630, 19, 650), (1, "a", "q", 0, 70, 10, 20)])
+    truth = box_rows(spark, [(1, "a", "g", 11, -9, 70, 655), (1, "a", "h", 5000, 0, 5010, 9), (1, "a", "g", 0, 0, 1, 1)])
+    pairs = spark.createDataFrame([("p", "g"), ("p", "g"), ("q", "g"), ("p", "h"), ("x", "g")], "p_fid string, g_fid string")
+    runs, stacks = ([R.box_runs(side, 10.0, stacked=s) for side in (perf, truth)] for s in (False, True))
+    # 161 rows of 10 pixels lie in four bands of 64.
+    assert stacks[0].where("fid = 'p' and c0 < 0").count() == 4 and runs[0].where("fid = 'p' and c0 < 0").count() == 161
+    want = sorted(map(str, R.pixel_scores(pairs, *runs).collect()))
+    assert len(want) == 5 and sorted(map(str, R.pixel_scores(pairs, *stacks).collect())) == want
